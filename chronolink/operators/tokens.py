@@ -142,7 +142,8 @@ def split_clitics(word: Column, lang: Column) -> Column:
             dashes = F.regexp_extract(a, r"(?s)[^-]((?:--)++)$", 1)
             stem = F.substring(a, F.lit(1), F.length(a) - F.length(dashes))
             suffix = pick(SUFFIX_CLITICS, lambda p: p)
-            run = F.regexp_extract(stem, F.concat(F.lit("(?s)^.+?((?:"), suffix, F.lit(")*+)$")), 1)
+            whole = F.concat(F.lit("(?s)^.+?((?:"), suffix, F.lit(")*+)$"))
+            run = F.coalesce(F.get(F.regexp_extract_all(stem, whole, F.lit(1)), 0), F.lit(""))
             return F.concat(
                 F.array(F.substring(stem, F.lit(1), F.length(stem) - F.length(run))),
                 F.regexp_extract_all(run, suffix, F.lit(0)),

@@ -42,10 +42,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give costly per-row work one task per core at least.
+
+    A file of a single row group is read by a single task; where the scan has enough tasks already,
+    as it has on large data, nothing is moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def corpus(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """The page table over the given tables; ``orders`` may be a stream."""
     views = {"customer": table(spark, sf_dir, "customer"), "nation": table(spark, sf_dir, "nation")}
-    views["orders"] = table(spark, sf_dir, "orders") if orders is None else orders
+    if orders is None:
+        orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    views["orders"] = orders
     for name, df in views.items():
         df.createOrReplaceTempView(f"chronolink_{name}")
     sql = CORPUS_SQL

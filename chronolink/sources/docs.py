@@ -13,9 +13,7 @@ _DOC = r'(?s)<doc id="(\d*)"(?: revid="(\d*)")?[^\n]* title="([^>]*)">\n(.*)$'
 def read_docs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Articles out of ``<doc ..> .. </doc>`` blocks. The block end separates records, so big files
     are read by many tasks. The title line is not part of the text."""
-    body = F.regexp_extract("value", _DOC, 4)
-    title = F.regexp_extract("value", _DOC, 3)
-    text = F.substring(body, F.length("title") + 3, F.length("body"))
+    text = F.substring(F.col("body"), F.length("title") + 3, F.length("body"))
     return (
         spark.read.option("lineSep", DOC_END)
         .text(path)
@@ -23,8 +21,8 @@ def read_docs(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .select(
             F.regexp_extract("value", _DOC, 1).cast("bigint").alias("page_id"),
             F.regexp_extract("value", _DOC, 2).try_cast("bigint").alias("rev_id"),
-            title.alias("title"),
-            body.alias("body"),
+            F.regexp_extract("value", _DOC, 3).alias("title"),
+            F.regexp_extract("value", _DOC, 4).alias("body"),
         )
         .select("page_id", "rev_id", "title", F.regexp_replace(text, r"\n\n\z", "").alias("text"))
     )
