@@ -107,7 +107,7 @@ def mentions(sentences: str = "sen") -> str:
     """CTE of links and dates in text order."""
     hits = f"regexp_extract_all(sentence, {quoted(ANCHOR + '|' + DATES)})"
     return f"""
-hit AS (SELECT page_id, sid, sentence, unnest({hits}) AS m, generate_subscripts({hits}, 1) - 1 AS pos FROM {sentences}),
+hit AS (SELECT page_id, sid, sentence, unnest({hits}) AS m, CAST(generate_subscripts({hits}, 1) - 1 AS INT) AS pos FROM {sentences}),
 men AS (SELECT page_id, sid, sentence, pos, m, m LIKE '<a %' AS is_link,
                regexp_extract(m, '<a href="([^"]*)"', 1) AS link, {VALUE} AS value FROM hit)"""
 
@@ -353,7 +353,7 @@ def oracle_sql() -> dict[str, str]:
         + rx("wikitext", TEMPLATE, TEMPLATE, TEMPLATE) + " AS text FROM pg"
     )
     sql["article_lines"] = f"""{with_(*FULL)} SELECT page_id, unnest(string_split(text, {NL})) AS line,
-        generate_subscripts(string_split(text, {NL}), 1) - 1 AS line_no FROM art"""
+        CAST(generate_subscripts(string_split(text, {NL}), 1) - 1 AS INT) AS line_no FROM art"""
     sql["headings"] = rf"""{with_(*BASE)}, tx AS (SELECT page_id, {HEADING_TEXT} AS t FROM pg),
         ln AS (SELECT page_id, unnest(string_split(t, {NL})) AS line, generate_subscripts(string_split(t, {NL}), 1) AS n FROM tx),
         kd AS (SELECT *, length(regexp_extract(line, '^(==+)', 1)) AS level FROM ln),
@@ -362,7 +362,7 @@ def oracle_sql() -> dict[str, str]:
                ON k.page_id = h.page_id AND k.n > h.n AND k.level BETWEEN 1 AND h.level GROUP BY ALL),
         fl AS (SELECT x.page_id, x.n, x.level, x.title, count(k.n) > 0 AS filled FROM nx x LEFT JOIN kd k
                ON k.page_id = x.page_id AND k.n > x.n AND k.level = 0 AND k.line <> '' AND (x.stop IS NULL OR k.n < x.stop) GROUP BY ALL)
-        SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS heading_no, level,
+        SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS INT) AS heading_no, CAST(level AS INT) AS level,
                CASE WHEN title LIKE '%?' THEN title ELSE title || '.' END AS title, filled FROM fl"""
     sql["list_items"] = rf"""{with_(*BASE)}, tx AS (SELECT page_id, {LIST_TEXT} AS t FROM pg),
         ln AS (SELECT page_id, unnest(string_split(t, {NL})) AS line, generate_subscripts(string_split(t, {NL}), 1) AS n FROM tx),
@@ -372,22 +372,22 @@ def oracle_sql() -> dict[str, str]:
                          max(CASE WHEN left(p, 2) <> '##' THEN n END) OVER w AS b2 FROM li WINDOW w AS (PARTITION BY page_id ORDER BY n)),
         nm AS (SELECT *, count(*) FILTER (WHERE p = '#') OVER (PARTITION BY page_id, b1 ORDER BY n) AS c1,
                          count(*) FILTER (WHERE p = '##') OVER (PARTITION BY page_id, b2 ORDER BY n) AS c2 FROM br)
-        SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS item_no,
+        SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS INT) AS item_no,
                CASE WHEN p = '#' THEN c1 || '.'
                     WHEN p LIKE '%#' THEN c2 || '.' ELSE '-' END AS marker,
                trim(substr(line, d + 1)) AS item FROM nm WHERE d > 0"""
 
     # extraction
     sql["links"] = rf"""{with_(*FULL)}, hit AS (SELECT page_id, unnest(regexp_extract_all(text, '{ANCHOR}')) AS a,
-        generate_subscripts(regexp_extract_all(text, '{ANCHOR}'), 1) - 1 AS link_no FROM art)
+        CAST(generate_subscripts(regexp_extract_all(text, '{ANCHOR}'), 1) - 1 AS INT) AS link_no FROM art)
         SELECT page_id, link_no, regexp_extract(a, '"([^"]*)"', 1) AS link, regexp_extract(a, '>([^<]*)<', 1) AS label FROM hit"""
     web = r"""<a href="[^"]*">[^<]*</a>"""
     sql["page_links"] = rf"""WITH hit AS (SELECT page_id, unnest(regexp_extract_all(html, '{web}')) AS a,
-        generate_subscripts(regexp_extract_all(html, '{web}'), 1) - 1 AS link_no FROM pages)
+        CAST(generate_subscripts(regexp_extract_all(html, '{web}'), 1) - 1 AS INT) AS link_no FROM pages)
         SELECT page_id, link_no, regexp_extract(a, '"([^"]*)"', 1) AS link, regexp_extract(a, '>([^<]*)<', 1) AS label FROM hit"""
     cut = "list_transform(string_split(text, 'Section::::'), lambda x, i: CASE WHEN i = 1 THEN x ELSE 'Section::::' || x END)"
     sql["sections"] = f"""{with_(*BASE, articles(keep_sections=True))} SELECT page_id, unnest({cut}) AS section,
-        generate_subscripts({cut}, 1) - 1 AS section_no FROM art"""
+        CAST(generate_subscripts({cut}, 1) - 1 AS INT) AS section_no FROM art"""
     sql["sentences"] = f"{with_(*FULL, split_sentences('art', 'text'))} SELECT page_id, sid, sentence FROM sen"
     sql["document_sentences"] = f"""{with_('doc AS (SELECT doc_id AS page_id, text FROM documents)', split_sentences('doc', 'text'))}
         SELECT page_id, sid, sentence FROM sen"""
