@@ -146,6 +146,12 @@ def min_length(spark, sf):
     return filters.min_length(documents, 1000).select("page_id", "n_chars")
 
 
+# --- cleaning ---------------------------------------------------------------------------------------
+def code_bodies(spark, sf):
+    source = with_text(article_pages(spark, sf), oracles.CODE_TEXT)
+    return clean_text(source).select("page_id", "text")
+
+
 # --- extraction ------------------------------------------------------------------------------------
 def article_lines(spark, sf):
     text = F.split("text", "\n")
@@ -365,7 +371,7 @@ def queries() -> dict[str, Query]:
         "drop_elements": html_step(markup.drop_elements),
         "placeholders": article_step(markup.number_placeholders, oracles.PLACEHOLDER_TEXT),
         "normalize_text": article_step(markup.normalize_text, oracles.NORMALIZE_TEXT),
-        "code_bodies": article_step(markup.clean_markup, oracles.CODE_TEXT),
+        "code_bodies": code_bodies,
         "nowiki_spans": article_step(
             lambda c: markup.drop_templates(c, protect_nowiki=True), oracles.NOWIKI_TEXT
         ),

@@ -16,6 +16,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def replace_where(text: Column, literal: str, pattern: str, replacement: str) -> Column:
+    """regexp_replace for texts that contain ``literal``, which every match has; others pass through.
+
+    Looking for the literal works on bytes and costs far less than decoding and matching.
+    """
+    return let(
+        text,
+        lambda t: F.when(
+            t.contains(literal), F.regexp_replace(t, pattern, replacement)
+        ).otherwise(t),
+    )
+
+
 def occurrences(text: Column, literal: str) -> Column:
     """How often ``literal`` occurs in ``text``."""
     removed = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(literal), F.lit("")))
@@ -52,27 +65,37 @@ def until_stable(text: Column, step: Callable[[Column], Column], opener: str) ->
     return let(text, run)
 
 
-def rewrite_matches(
-    text: Column, pattern: str | Column, rewrite: Callable[[Column, Column, Column], Column]
-) -> Column:
-    """Replace every match by ``rewrite(match, index, all_matches)``.
+# Frame a match while a text is taken apart. XML text cannot hold these characters.
+OPEN, CLOSE = "\x03", "\x04"
+
+
+def split_matches(text: Column, pattern: str | Column, keep: str = "$0") -> Column:
+    """The text up to the first match, then one piece per match: ``keep``, CLOSE, what follows.
 
-    A regexp_replace whose replacement is an expression: one linear pass, nothing is rescanned.
+    One regexp_replace finds the matches (its pattern is compiled once per task); the split itself is
+    at a plain character.
     """
-    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
+    return F.split(F.regexp_replace(text, pattern, f"{OPEN}{keep}{CLOSE}"), OPEN, -1)
 
-    def run(t: Column) -> Column:
-        hits = F.regexp_extract_all(t, regex, F.lit(0))
 
-        def stitch(h: Column) -> Column:
-            pieces = F.transform(
-                F.split(t, regex, -1),
-                lambda piece, i: F.concat(
-                    piece, F.when(i < F.size(h), rewrite(F.get(h, i), i, h)).otherwise(F.lit(""))
-                ),
-            )
-            return F.array_join(pieces, "")
+def match_of(piece: Column) -> Column:
+    """What ``split_matches`` kept of the match in front of a piece."""
+    return F.substring_index(piece, CLOSE, 1)
 
-        return let(hits, lambda h: F.when(F.size(h) == 0, t).otherwise(stitch(h)))
 
-    return let(text, run)
+def rest_of(piece: Column) -> Column:
+    """The text of a piece behind its match."""
+    return F.substring_index(piece, CLOSE, -1)
+
+
+def rewrite_matches(
+    text: Column, pattern: str | Column, rewrite: Callable[[Column, Column], Column]
+) -> Column:
+    """Replace every match by ``rewrite(match, index)``; replaced text is not scanned again."""
+    pieces = F.transform(
+        split_matches(text, pattern),
+        lambda piece, i: F.when(i == 0, piece).otherwise(
+            F.concat(let(match_of(piece), lambda m: rewrite(m, i - 1)), rest_of(piece))
+        ),
+    )
+    return F.array_join(pieces, "")

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chronolink.functions.compose import let, rewrite_matches
+from chronolink.functions.compose import let, replace_where, rest_of, rewrite_matches, split_matches
 
 BULLET = "BULLET::::"
 SECTION = "Section::::"
 
+_BARE = BULLET + "-"
+
 # (?d): only \n ends a line. A heading needs its closing run, what follows it is ignored.
 HEADING = r"(?d)^(==+)\s*(.*?)\s*\1"
 _LIST_PREFIX = r"(?md)^[*#;][*#;:]*+"
-_RESIDUAL = r"(?d)^[{| ]|\}\z|^\(.*\)\z|^[.\-]+\z"
 
 # Inside this module a heading line is: mark, level as a run of '=', title.
 _HEAD = "\x01"
@@ -41,41 +42,45 @@ def number_list_items(text: Column) -> Column:
         return rewrite_matches(
             t,
             run,
-            lambda lines, _i, _all: F.array_join(
+            lambda lines, _i: F.array_join(
                 F.transform(
-                    F.split(lines, item, -1),
+                    split_matches(lines, item, keep=""),
                     lambda piece, n: F.when(n == 0, piece).otherwise(
-                        F.concat(F.lit(BULLET), n.cast("string"), F.lit(". "), piece)
+                        F.concat(F.lit(BULLET), n.cast("string"), F.lit(". "), rest_of(piece))
                     ),
                 ),
                 "",
             ),
         )
 
-    def run_levels(t: Column) -> Column:
+    def number(t: Column) -> Column:
         prefixes = F.regexp_extract_all(t, F.lit(_LIST_PREFIX), F.lit(0))
         depth = F.array_max(F.transform(prefixes, lambda p: F.length(p)))
-        numbered = let(
-            depth,
-            lambda d: F.when(d.isNull(), t).otherwise(
-                F.aggregate(F.sequence(F.lit(1), F.coalesce(d, F.lit(1))), t, number_level)
-            ),
-        )
-        # a marker without an item still belongs to its list; it is dropped later
-        bare = F.regexp_replace(numbered, _LIST_PREFIX + r"[^\S\n]*+$", BULLET)
-        return F.regexp_replace(bare, _LIST_PREFIX + r"[^\S\n]*+", BULLET + "- ")
+        levels = F.sequence(F.lit(1), F.coalesce(depth, F.lit(1)))
+        return F.when(t.contains("#"), F.aggregate(levels, t, number_level)).otherwise(t)
 
-    return let(text, run_levels)
+    return F.regexp_replace(let(text, number), _LIST_PREFIX + r"[^\S\n]*+", BULLET + "- ")
 
 
 def _with_stop(title: Column) -> Column:
     return F.when((title == "") | title.rlike(r"[!?]\z"), title).otherwise(F.concat(title, F.lit(".")))
 
 
+def _is_residue(line: Column) -> Column:
+    """Leftovers of tables and templates, lines in brackets, lines of dots and dashes."""
+    return (
+        line.startswith("{")
+        | line.startswith("|")
+        | line.endswith("}")
+        | (line.startswith("(") & line.endswith(")"))
+        | (F.btrim(line, F.lit(".-")) == "")
+    )
+
+
 def kept_lines(text: Column, keep_lists: bool = True) -> Column:
     """The lines of a page that survive, as an array; headings are marked, blank lines stay single.
 
-    Residues of markup go: table and template lines, bracketed or dotted lines, indents and
+    A marker without an item is dropped, but it belongs to its list. Residues of markup go: table and template lines, bracketed or dotted lines, indents and
     preformatted lines. The line right after a list is always kept, and a preformatted one is kept
     when it opens a section.
     """
@@ -90,21 +95,23 @@ def kept_lines(text: Column, keep_lists: bool = True) -> Column:
                 | line.startswith(_HEAD)
                 | line.startswith(BULLET)
                 | before.startswith(BULLET)
-                | ~line.rlike(_RESIDUAL)
-                | (opens & line.rlike(r"(?d)^ (?!.*\}\z)"))
+                | (~_is_residue(line) & (~line.startswith(" ") | opens))
             )
 
         kept = F.filter(lines, keep)
         return F.filter(
-            kept, lambda line: (line != BULLET) if keep_lists else ~line.startswith(BULLET)
+            kept, lambda line: (line != _BARE) if keep_lists else ~line.startswith(BULLET)
         )
 
     def mark(line: Column) -> Column:
-        head = F.regexp_extract(line, HEADING, 1)
         return (
             F.when(
-                head != "",
-                F.concat(F.lit(_HEAD), head, _with_stop(F.regexp_extract(line, HEADING, 2))),
+                line.startswith("==") & line.rlike(HEADING),
+                F.concat(
+                    F.lit(_HEAD),
+                    F.regexp_extract(line, HEADING, 1),
+                    _with_stop(F.regexp_extract(line, HEADING, 2)),
+                ),
             )
             .when(
                 line.startswith("++"),
@@ -114,7 +121,7 @@ def kept_lines(text: Column, keep_lists: bool = True) -> Column:
             .otherwise(line)
         )
 
-    listed = number_list_items(F.regexp_replace(text, r"(?md)^:[^\n]*+(?:\n|\z)", ""))
+    listed = number_list_items(replace_where(text, ":", r"(?md)^:[^\n]*+(?:\n|\z)", ""))
     return let(F.transform(F.split(listed, "\n", -1), mark), select)
 
 
@@ -124,7 +131,7 @@ def _settle_headings(text: Column) -> Column:
     A heading waits until content comes; one of the same or a higher level replaces it before that.
     """
 
-    def settle(block: Column, _i: Column, _all: Column) -> Column:
+    def settle(block: Column, _i: Column) -> Column:
         def level(head: Column) -> Column:
             return F.length(F.regexp_extract(head, _HEADS, 1))
 
@@ -173,8 +180,7 @@ def compact_lines(text: Column, keep_sections: bool = False, keep_lists: bool =
         body = F.regexp_replace(body, r"(?md)^\x02=+", SECTION)
     else:
         body = F.array_join(F.filter(lines, lambda line: ~line.startswith(_HEAD)), "\n")
-    body = F.regexp_replace(body, r"\n{3,}", "\n\n")
-    return F.regexp_replace(body, r"\A\n++|\n++\z", "")
+    return F.btrim(replace_where(body, "\n\n\n", r"\n{3,}", "\n\n"), F.lit("\n"))
 
 
 def heading_lines(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chronolink.functions.compose import let
+from chronolink.functions.compose import match_of, rest_of, split_matches
 from chronolink.functions.dates import (
     ANCHOR,
     TAGS,
@@ -51,28 +51,22 @@ def pair_dates(sentences: DataFrame) -> DataFrame:
     ``link_ord`` counts the links of a sentence from 1.
     """
 
+    def dates_in(tail: Column) -> Column:
+        values = F.regexp_extract_all(tail, F.lit(TIMEX), F.lit(1))
+        return F.filter(F.transform(values, normalize_date), lambda date: date.isNotNull())
+
     def groups(s: Column) -> Column:
-        def by_link(titles: Column) -> Column:
-            tails = F.split(s, ANCHOR, -1)
-            return F.filter(
-                F.transform(
-                    titles,
-                    lambda title, i: F.struct(
-                        (i + 1).alias("link_ord"),
-                        title.alias("link"),
-                        F.filter(
-                            F.transform(
-                                F.regexp_extract_all(F.get(tails, i + 1), F.lit(TIMEX), F.lit(1)),
-                                normalize_date,
-                            ),
-                            lambda date: date.isNotNull(),
-                        ).alias("dates"),
-                    ),
-                ),
-                lambda pair: F.size(pair["dates"]) > 0,
-            )
-
-        return let(F.regexp_extract_all(s, F.lit(ANCHOR), F.lit(1)), by_link)
+        cut = F.transform(
+            split_matches(s, ANCHOR, keep="$1"),
+            lambda piece, i: F.struct(
+                i.alias("link_ord"),
+                match_of(piece).alias("link"),
+                F.when(
+                    (i > 0) & piece.contains("<TIMEX3 "), dates_in(rest_of(piece))
+                ).alias("dates"),
+            ),
+        )
+        return F.filter(cut, lambda pair: F.size(pair["dates"]) > 0)
 
     merged = F.regexp_replace(merge_intervals(F.col("sentence")), _UNTITLED_ANCHOR, "")
     # a sentence without both tags cannot give a pair
@@ -83,7 +77,7 @@ def pair_dates(sentences: DataFrame) -> DataFrame:
         "page_id",
         "sid",
         "sentence",
-        F.explode(let(merged, groups)).alias("pair"),
+        F.explode(groups(merged)).alias("pair"),
     ).select(
         "page_id",
         "sid",

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A blank, quote or line end behind a stop; a bullet mark; a line end.
-SENTENCE_END = r'(?<=[.:;?!])[\n "]|BULLET::::|\n'
+from chronolink.functions.compose import OPEN
+
+# A blank or quote behind a stop; a line end; a bullet mark.
+SENTENCE_END = r'[ "](?<=[.:;?!][ "])|\n|BULLET::::'
 MIN_SENTENCE = 4
 
 
@@ -22,9 +24,8 @@ def doc_text(articles: DataFrame) -> Column:
 
 def split_sentences(text: Column) -> Column:
     """Sentences of a text as an array; those of three characters or less are left out."""
-    return F.filter(
-        F.split(text, SENTENCE_END, -1), lambda s: F.length(s) >= MIN_SENTENCE
-    )
+    pieces = F.split(F.regexp_replace(text, SENTENCE_END, OPEN), OPEN, -1)
+    return F.filter(pieces, lambda s: F.length(s) >= MIN_SENTENCE)
 
 
 def sentences(articles: DataFrame, whole_doc: bool = False) -> DataFrame:

@@ -2,43 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronolink.functions.dates import tag_dates
 from chronolink.functions.lines import compact_lines
-from chronolink.functions.markup import (
-    ACCEPTED_NAMESPACES,
-    DISCARDED_ELEMENTS,
-    IGNORED_TAGS,
-    clean_markup,
-)
+from chronolink.functions.markup import cleaning_steps
 from chronolink.operators.pairs import pair_dates
 from chronolink.operators.sentences import sentences
 
 
+def apply_steps(
+    df: DataFrame, steps: Iterable[Callable[[Column], Column]], column: str = "text"
+) -> DataFrame:
+    """Run column steps one after the other. Each is a projection of its own for the analyzer; the
+    optimizer folds them into one."""
+    for step in steps:
+        df = df.withColumn(column, step(F.col(column)))
+    return df
+
+
 def clean_text(
     pages: DataFrame,
-    keep_links: bool = True,
     keep_sections: bool = False,
     keep_lists: bool = True,
-    keep_tables: bool = False,
-    accepted: Iterable[str] = ACCEPTED_NAMESPACES,
-    encode_links: bool = False,
-    ignored_tags: Iterable[str] = IGNORED_TAGS,
-    discarded_elements: Iterable[str] = DISCARDED_ELEMENTS,
-    protect_nowiki: bool = False,
+    **switches,
 ) -> DataFrame:
-    """Pages to articles: ``page_id, rev_id, title, text``. One projection, no exchange."""
-    markup = clean_markup(
-        F.col("wikitext"), keep_links, keep_tables, accepted, encode_links,
-        ignored_tags, discarded_elements, protect_nowiki,
-    )
-    return pages.select(
-        "page_id", "rev_id", "title",
-        compact_lines(markup, keep_sections, keep_lists).alias("text"),
+    """Pages to articles: ``page_id, rev_id, title, text``. One projection, no exchange.
+
+    ``switches`` are those of ``markup.cleaning_steps``: keep_links, keep_tables, accepted,
+    encode_links, ignored_tags, discarded_elements, protect_nowiki.
+    """
+    articles = pages.select("page_id", "rev_id", "title", F.col("wikitext").alias("text"))
+    return apply_steps(
+        articles,
+        [*cleaning_steps(**switches), lambda x: compact_lines(x, keep_sections, keep_lists)],
     )
 
 
