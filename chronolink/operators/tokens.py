@@ -139,7 +139,7 @@ def split_clitics(word: Column, lang: Column) -> Column:
         heads = F.regexp_extract_all(after, F.concat(F.lit(r"(?s)\G"), prefix), F.lit(0))
 
         def tail(a: Column) -> Column:
-            dashes = F.regexp_extract(a, r"(?s)[^-]((?:--)++)$", 1)
+            dashes = F.regexp_extract(F.reverse(a), r"(?s)^((?:--(?=.))*+)", 1)
             stem = F.substring(a, F.lit(1), F.length(a) - F.length(dashes))
             suffix = pick(SUFFIX_CLITICS, lambda p: p)
             whole = F.concat(F.lit("(?s)^.+?((?:"), suffix, F.lit(")*+)$"))

@@ -39,10 +39,10 @@ def dedupe_stream(
 
 
 def stream_dedupe(
-    pages: DataFrame, path: str, checkpoint: str, event_time: str | None = None
+    pages: DataFrame, path: str, checkpoint: str, event_time: str | None = None, delay: str = "1 day"
 ) -> StreamingQuery:
     """Write each revision once."""
-    return _start(dedupe_stream(pages, event_time), path, checkpoint)
+    return _start(dedupe_stream(pages, event_time, delay), path, checkpoint)
 
 
 def stream_incremental(
