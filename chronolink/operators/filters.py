@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronolink.functions.compose import let
+from chronolink.operators.joins import salted_join
 
 CATEGORY_LINE = r"(?m)^\s*\[\[Category:([^|\]\n]+)"
 DISAMBIGUATION_LINE = r"(?m)^(?:\{\{disambig(?:uation)?(?:\|[^}]*)?\}\}|__DISAMBIG__)"
@@ -76,9 +77,9 @@ def filter_categories(
         return pages.filter(let(category_names(F.col("wikitext")), matches))
 
     # One narrow pass: which pages hit an included, which an excluded category.
+    names = rules.select("category", "mode").distinct()
     hits = (
-        page_categories(pages)
-        .join(rules.select("category", "mode").distinct(), "category")
+        salted_join(page_categories(pages), names, "category", ["page_id"], "inner")
         .groupBy("page_id")
         .agg(
             F.max(F.col("mode") == "include").alias("included"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from chronolink.operators.pages import REVISION, split_changed
+from chronolink.operators.pages import REVISION, changed_pages
 from chronolink.plans.articles import extract_pairs
 from chronolink.session import scratch_path
 
@@ -54,8 +54,12 @@ def stream_incremental(
     """
 
     def extract_batch(batch: DataFrame, batch_id: int) -> None:
-        _, changed = split_changed(batch, stored)
-        extract_pairs(changed).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            fresh = extract_pairs(changed_pages(batch, stored))
+            fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         pages.writeStream.foreachBatch(extract_batch)

@@ -69,6 +69,10 @@ def test_reused_and_changed_are_all(spark, page):
     reusable, changed = pages.split_changed(new, old)
     assert sorted(r.page_id for r in reusable.collect()) == [0, 1]
     assert sorted(r.page_id for r in changed.collect()) == [2, 3, 4, 5]
+    for limit in (100, 0):
+        assert sorted(r.page_id for r in pages.changed_pages(new, old, limit).collect()) == [2, 3, 4, 5]
+    unknown = new.withColumn("rev_id", F.when(F.col("page_id") != 3, F.col("rev_id")))
+    assert sorted(r.page_id for r in pages.changed_pages(unknown, old).collect()) == [2, 3, 4, 5]
     stored = old.distinct().select("*", F.lit("t").alias("title"), F.lit("stored").alias("text"))
     out = pages.update_articles(new, stored, clean_text).orderBy("page_id").collect()
     assert [r.text for r in out] == ["stored", "stored", "c", "d", "e", "f"]
