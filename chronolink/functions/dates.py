@@ -43,7 +43,7 @@ def _starting(first: str, forms: tuple[str, ...]) -> str:
     return rf"(?={first})(?<!{WORD})(?:{'|'.join(forms)})(?!{WORD})"
 
 
-DATE = "(?:{})".format(
+DATE = r"(?=[\dACDFJMNOS])(?:{})".format(
     "|".join(
         (
             _starting(r"\d", _DIGIT_FIRST),

@@ -121,7 +121,11 @@ def kept_lines(text: Column, keep_lists: bool = True) -> Column:
             .otherwise(line)
         )
 
-    listed = number_list_items(replace_where(text, ":", r"(?md)^:[^\n]*+(?:\n|\z)", ""))
+    # a line end in front gives the first line the same look as the others
+    unindented = replace_where(
+        F.concat(F.lit("\n"), text), "\n:", r"\n:[^\n]*+", ""
+    )
+    listed = number_list_items(F.btrim(unindented, F.lit("\n")))
     return let(F.transform(F.split(listed, "\n", -1), mark), select)
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from chronolink.functions.compose import OPEN
 
-# A blank or quote behind a stop; a line end; a bullet mark.
-SENTENCE_END = r'[ "](?<=[.:;?!][ "])|\n|BULLET::::'
+# A blank or quote behind a stop; a line end; a bullet mark. The first class passes over most characters.
+SENTENCE_END = r'[ "\nB](?:(?<=[.:;?!][ "]|\n)|(?<=B)ULLET::::)'
 MIN_SENTENCE = 4
 
 

@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronolink.functions.compose import replace_where
 from chronolink.functions.dates import tag_dates
-from chronolink.functions.lines import compact_lines
+from chronolink.functions.lines import BULLET, compact_lines
 from chronolink.functions.markup import cleaning_steps
 from chronolink.operators.pairs import pair_dates
 from chronolink.operators.sentences import sentences
@@ -44,7 +45,7 @@ def clean_text(
 
 def tag_articles(articles: DataFrame) -> DataFrame:
     """List items become sentences, dates become TIMEX3 elements; this text is what gets stored."""
-    prose = F.regexp_replace(F.col("text"), r"(?md)^BULLET::::([^\n]*)(?:\n|\z)", "$1.\n")
+    prose = replace_where(F.col("text"), BULLET, rf"{BULLET}([^\n]*)(?:\n|\z)", "$1.\n")
     return articles.withColumn("text", tag_dates(prose))
 
 
