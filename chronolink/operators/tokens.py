@@ -79,6 +79,15 @@ def split_words(text: Column) -> Column:
     return let(text, with_tags)
 
 
+def explode_array(array: str) -> Column:
+    """Explode a computed array column.
+
+    For a plain column the optimizer infers a size filter and pushes it, with the whole computation of
+    the array, to every input row. An expression around the column keeps it from doing so.
+    """
+    return F.explode(F.filter(array, lambda x: x.isNotNull()))
+
+
 def _characters(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
@@ -216,7 +225,7 @@ def token_counts(documents: DataFrame, listed: DataFrame | None = None) -> DataF
     """How often each token occurs per language."""
     return (
         word_tokens(word_counts(documents), listed)
-        .select("lang", "n", F.explode("tokens").alias("token"))
+        .select("lang", "n", explode_array("tokens").alias("token"))
         .groupBy("lang", "token")
         .agg(F.sum("n").alias("n"))
     )
@@ -250,13 +259,15 @@ def phrase_hits(documents: DataFrame, phrases: DataFrame, max_words: int) -> Dat
         .distinct()
         .withColumn("key", F.lower(F.array_join("words", " ")))
     )
-    tokens = documents.select("doc_id", split_words(F.col("text")).alias("tokens"))
-    lengths = F.sequence(F.lit(2), F.least(F.lit(max_words), F.size("tokens") - F.col("pos")))
+    ahead = let(
+        split_words(F.col("text")),
+        lambda t: F.transform(t, lambda _, i: F.slice(t, i + 1, max_words)),
+    )
+    lengths = F.sequence(F.lit(2), F.size("ahead"))
     grams = (
-        tokens.select("doc_id", "tokens", F.posexplode("tokens").alias("pos", "first"))
-        .filter(F.size("tokens") - F.col("pos") >= 2)
-        .select("doc_id", "pos", F.slice("tokens", F.col("pos") + 1, max_words).alias("ahead"),
-                F.explode(lengths).alias("n"))
+        documents.select("doc_id", F.posexplode(ahead).alias("pos", "ahead"))
+        .filter(F.size("ahead") >= 2)
+        .select("doc_id", "pos", "ahead", F.explode(lengths).alias("n"))
         .select("doc_id", "pos", "n", F.slice("ahead", F.lit(1), F.col("n")).alias("gram"))
         .withColumn("key", F.lower(F.array_join("gram", " ")))
     )
@@ -304,7 +315,7 @@ def resolve_overlaps(hits: DataFrame) -> DataFrame:
     return (
         clusters.groupBy("doc_id", "cluster")
         .agg(kept.alias("kept"))
-        .select("doc_id", F.explode("kept").alias("s"))
+        .select("doc_id", explode_array("kept").alias("s"))
         .select("doc_id", "s.pos", "s.n", "s.phrase")
     )
 
