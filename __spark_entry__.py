@@ -205,10 +205,9 @@ def normalize_titles(spark, sf):
 
 # --- joins and aggregates --------------------------------------------------------------------------
 def incremental(spark, sf):
-    reusable, changed = pages.split_changed(corpus(spark, sf).select("page_id", "rev_id"), old_pages(spark, sf))
-    return reusable.withColumn("status", F.lit("reusable")).unionByName(
-        changed.withColumn("status", F.lit("changed"))
-    )
+    marked = pages.mark_reusable(corpus(spark, sf).select("page_id", "rev_id"), old_pages(spark, sf))
+    status = F.when(F.col("reusable"), "reusable").otherwise("changed")
+    return marked.select("page_id", "rev_id", status.alias("status"))
 
 
 def update_articles(spark, sf):

@@ -239,9 +239,10 @@ def clitic_counts(documents: DataFrame) -> DataFrame:
         ends_sentence(F.col("core"), F.col("lang")), F.regexp_replace("core", r"\.$", "")
     ).otherwise(F.col("core"))
     parts = split_clitics(stem, F.col("lang"))
+    # a condition on n as well keeps the optimizer from testing every occurrence of a word
     return (
         peeled.select("lang", "n", parts.alias("parts"))
-        .filter(F.size("parts") > 1)
+        .filter(F.when(F.col("n") > 0, F.size("parts") > 1))
         .groupBy("lang", F.array_join("parts", " ").alias("parts"))
         .agg(F.sum("n").alias("n"))
     )

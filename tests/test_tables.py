@@ -69,6 +69,8 @@ def test_reused_and_changed_are_all(spark, page):
     reusable, changed = pages.split_changed(new, old)
     assert sorted(r.page_id for r in reusable.collect()) == [0, 1]
     assert sorted(r.page_id for r in changed.collect()) == [2, 3, 4, 5]
+    marked = pages.mark_reusable(new, old)
+    assert marked.count() == 6 and sorted(r.page_id for r in marked.filter("reusable").collect()) == [0, 1]
     for limit in (100, 0):
         assert sorted(r.page_id for r in pages.changed_pages(new, old, limit).collect()) == [2, 3, 4, 5]
     unknown = new.withColumn("rev_id", F.when(F.col("page_id") != 3, F.col("rev_id")))
