@@ -263,8 +263,10 @@ def phrase_counts(spark, sf):
 # --- streams -------------------------------------------------------------------------------------------
 def page_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The page table as a stream over the orders file."""
-    orders = spark.readStream.schema(table(spark, sf, "orders").schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
-    return corpus(spark, sf, orders)
+    source = spark.readStream.schema(table(spark, sf, "orders").schema)
+    orders = source.option("pathGlobFilter", "orders.parquet").parquet(sf)
+    # one small file: give the text work a task per core
+    return corpus(spark, sf, orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey"))
 
 
 def stream_pairs(spark, sf):

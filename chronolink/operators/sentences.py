@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from chronolink.functions.compose import OPEN
 
-# A blank or quote behind a stop; a line end; a bullet mark. The first class passes over most characters.
-SENTENCE_END = r'[ "\nB](?:(?<=[.:;?!][ "]|\n)|(?<=B)ULLET::::)'
+# A stop, which stays, with the blank or quote behind it; a line end; a bullet mark.
+SENTENCE_END = r'([.:;?!])[ "]|\n|BULLET::::'
 MIN_SENTENCE = 4
 
 
@@ -24,7 +24,7 @@ def doc_text(articles: DataFrame) -> Column:
 
 def split_sentences(text: Column) -> Column:
     """Sentences of a text as an array; those of three characters or less are left out."""
-    pieces = F.split(F.regexp_replace(text, SENTENCE_END, OPEN), OPEN, -1)
+    pieces = F.split(F.regexp_replace(text, SENTENCE_END, f"$1{OPEN}"), OPEN, -1)
     return F.filter(pieces, lambda s: F.length(s) >= MIN_SENTENCE)
 
 
