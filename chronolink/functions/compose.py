@@ -35,32 +35,63 @@ def occurrences(text: Column, literal: str) -> Column:
     return (removed / len(literal.encode())).cast("int")
 
 
+_CHUNK = 8
+
+
+def loop_while(
+    start: Column,
+    active: Callable[[Column], Column],
+    advance: Callable[[Column], Column],
+    most_rounds: Column,
+) -> Column:
+    """Advance a state struct while it is active, ``most_rounds`` times at most.
+
+    Most pages need one round or two, which are taken directly. Beyond that: a fold cannot stop early,
+    and every step of it copies the state, which here holds a whole page. So rounds are taken in chunks
+    of chunks, and an inactive state passes over a chunk in one step.
+    """
+
+    def chunk(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        steps = F.sequence(F.lit(1), F.lit(_CHUNK))
+        return lambda acc: F.aggregate(steps, acc, lambda inner, _: guarded(step)(inner))
+
+    def guarded(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda acc: F.when(active(acc), step(acc)).otherwise(acc)
+
+    def rest(state: Column) -> Column:
+        chunks = F.sequence(F.lit(1), F.ceil(most_rounds / _CHUNK**2).cast("int") + 1)
+        body = guarded(chunk(chunk(advance)))
+        folded = F.aggregate(chunks, state, lambda acc, _: body(acc))
+        return F.when(active(state), folded).otherwise(state)
+
+    once = guarded(advance)
+    return let(once(start), lambda first: let(once(first), rest))
+
+
 def until_stable(text: Column, step: Callable[[Column], Column], opener: str) -> Column:
     """Apply ``step`` until the number of ``opener``s stops falling.
 
-    This resolves markup nested to any depth with flat patterns: a round handles the innermost
-    level, so there are as many effective rounds as levels. A page without ``opener`` is passed
-    through, and rounds after the last effective one cost nothing.
+    This resolves markup nested to any depth with flat patterns: a round handles the innermost level,
+    so there are as many effective rounds as levels. A page without ``opener`` is passed through.
     """
 
     def run(t: Column) -> Column:
-        start = F.struct(
-            t.alias("text"), occurrences(t, opener).alias("now"), F.lit(2**31 - 1).alias("before")
-        )
+        openers = occurrences(t, opener)
+        start = F.struct(t.alias("text"), openers.alias("now"), F.lit(2**31 - 1).alias("before"))
 
-        def one_round(acc: Column, _: Column) -> Column:
-            advanced = let(
+        def advance(acc: Column) -> Column:
+            return let(
                 step(acc["text"]),
                 lambda n: F.struct(
                     n.alias("text"), occurrences(n, opener).alias("now"), acc["now"].alias("before")
                 ),
             )
-            active = (acc["now"] > 0) & (acc["now"] < acc["before"])
-            return F.when(active, advanced).otherwise(acc)
 
-        rounds = F.sequence(F.lit(1), occurrences(t, opener))
-        folded = F.aggregate(rounds, start, one_round, lambda acc: acc["text"])
-        return F.when(t.contains(opener), folded).otherwise(t)
+        def active(acc: Column) -> Column:
+            return (acc["now"] > 0) & (acc["now"] < acc["before"])
+
+        done = loop_while(start, active, advance, openers)
+        return F.when(t.contains(opener), done["text"]).otherwise(t)
 
     return let(text, run)
 

@@ -55,8 +55,8 @@ def number_list_items(text: Column) -> Column:
 
     def number(t: Column) -> Column:
         prefixes = F.regexp_extract_all(t, F.lit(_LIST_PREFIX), F.lit(0))
-        depth = F.array_max(F.transform(prefixes, lambda p: F.length(p)))
-        levels = F.sequence(F.lit(1), F.coalesce(depth, F.lit(1)))
+        # only levels that have items
+        levels = F.array_sort(F.array_distinct(F.transform(prefixes, lambda p: F.length(p))))
         return F.when(t.contains("#"), F.aggregate(levels, t, number_level)).otherwise(t)
 
     return F.regexp_replace(let(text, number), _LIST_PREFIX + r"[^\S\n]*+", BULLET + "- ")
