@@ -76,7 +76,7 @@ def pair_dates(sentences: DataFrame) -> DataFrame:
     return candidates.select(
         "page_id",
         "sid",
-        "sentence",
+        clean_sentence(F.col("sentence")).alias("sentence"),
         F.explode(groups(merged)).alias("pair"),
     ).select(
         "page_id",
@@ -84,7 +84,7 @@ def pair_dates(sentences: DataFrame) -> DataFrame:
         F.col("pair.link_ord").alias("link_ord"),
         F.col("pair.link").alias("link"),
         F.col("pair.dates").alias("dates"),
-        clean_sentence(F.col("sentence")).alias("sentence"),
+        "sentence",
     )
 
 

@@ -118,6 +118,19 @@ def test_placeholders_share_numbers(apply):
     assert apply(m.number_placeholders, text) == ["formula_1 formula_2 formula_1 codice_1 formula_4"]
 
 
+@pytest.mark.parametrize("step, opener", [
+    (m.drop_comments, "<!-- "), (m.number_placeholders, "<math> "), (m.shield_code, "<syntaxhighlight a> "),
+])
+def test_openers_without_end(apply, step, opener):
+    text = opener + "x " + opener * 100_000
+    assert apply(step, text) == [text]
+
+
+def test_closed_ones_go_unclosed_ones_stay(apply):
+    assert apply(m.drop_inline_markup, "a<!-- b -->c<b>d</b><!-- <i>e") == ["acd<!-- e"]
+    assert apply(m.number_placeholders, "<math>a</math> <math>b") == ["formula_1 <math>b"]
+
+
 def test_normalize(apply):
     assert apply(m.normalize_text, "a\n--- !!\nb <<x>>\ty  z.....,,u,.") == ["a\nb «x» y z...,u."]
 
