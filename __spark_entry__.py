@@ -21,6 +21,13 @@ from chronolink.sinks import writers  # noqa: E402
 from chronolink.sources import docs, dump, lists  # noqa: E402
 from chronolink.streaming import streams  # noqa: E402
 
+# The operators for training data may be absent; the rest does not depend on them.
+try:
+    import corpus_pipeline
+    from chronolink.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 URLBASE = "https://wiki.example.org/wiki"
 NAMESPACES = {0: "", 10: "Template"}
@@ -337,7 +344,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    more = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
+    return more | {
         # sources and sinks
         "scan_dump": scan_dump,
         "scan_namespaces": scan_namespaces,
@@ -424,4 +432,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    more = llm.oracle_sql() if llm else {}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return more | oracles.oracle_sql()
