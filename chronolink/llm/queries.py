@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import simhash, toxicity
+from chronolink.llm import simhash, suffix_dedup, toxicity
 from chronolink.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +25,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op4_toxicity": op4_toxicity}
+    return {"op1_simhash": op1_simhash, "op4_toxicity": op4_toxicity, "op6_suffix_dedup": op6_suffix_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
