@@ -22,8 +22,8 @@ from chronolink.llm.common import checkpointed, whole_text, written
 
 LENGTH = 400
 GRAM = 64
-BLOCK = 1 << 19
-SHARD = 1 << 20
+BLOCK = 1 << 18
+SHARD = 1 << 19
 #: Distinct records of an anchor from which they get longer anchors. It steers memory, not the result.
 SPLIT_RECORDS = 8_000
 FILTER_BITS = 1 << 24
@@ -182,7 +182,7 @@ def words_of(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def common_prefixes(data: np.ndarray, sa: np.ndarray, words: np.ndarray, cap: int, lanes: int = 4096) -> np.ndarray:
+def common_prefixes(data: np.ndarray, sa: np.ndarray, words: np.ndarray, cap: int, lanes: int = 16_384) -> np.ndarray:
     """For each slot the bytes its suffix shares with the one before (Kasai), counted up to ``cap``.
 
     Many stretches of the text advance side by side; in each, a position inherits all but one byte of
@@ -206,7 +206,7 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, words: np.ndarray, cap: in
             x, y, l = at[going], other[going], length[going]
             room = n - np.maximum(x, y) - l
             differ = words[x + l] ^ words[y + l]
-            same = np.where(differ == 0, 8, 7 - _top_byte(differ))
+            same = _equal_bytes(differ)
             step = np.minimum(same, room)
             length[going] = l + step
             going = going[(same == 8) & (step == 8) & (room > 8) & (l + step < cap)]
@@ -214,9 +214,9 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, words: np.ndarray, cap: in
     return shared[sa]
 
 
-def _top_byte(x: np.ndarray) -> np.ndarray:
-    """Index (0 lowest) of the highest byte that is not zero."""
-    return sum((x >> np.uint64(8 * j) != 0).astype(np.int64) for j in range(1, 8))
+def _equal_bytes(differ: np.ndarray) -> np.ndarray:
+    """How many leading bytes are zero. Clearing bits below a set one keeps the float from rounding up."""
+    return (64 - np.frexp((differ & ~(differ >> np.uint64(1))).astype(np.float64))[1]) >> 3
 
 
 class Shard:
