@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import simhash, suffix_dedup, toxicity
+from chronolink.llm import pii, simhash, suffix_dedup, toxicity
 from chronolink.llm.common import table
 
+#: Bytes of rows that a Python worker is handed at a time.
+BATCH_BYTES = "8m"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,13 +28,36 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = [k.name for k in pii.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(names))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{n}')) AS long)").alias(f"n_{n}") for n in names]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listing(base), 256).alias("base_sha256"), pii.listing(F.col("spans")).alias("spans")
+    )
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def _bounded(query: Query) -> Query:
+    """``query`` with small batches for its Python workers, so that long texts do not add up."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op4_toxicity": op4_toxicity, "op6_suffix_dedup": op6_suffix_dedup}
+    found = {"op1_simhash": op1_simhash, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
+        "op6_suffix_dedup": op6_suffix_dedup,
+    }
+    return {name: _bounded(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
