@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Bytes of rows that a Python worker is handed at a time.
+BATCH_BYTES = "8m"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +30,11 @@ def shared_dir(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python workers few bytes at a time, so that very long texts do not add up in a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once, its rows in the shared folder, its lineage cut."""
     shared_dir(df.sparkSession)

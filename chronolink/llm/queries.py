@@ -7,11 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import pii, simhash, suffix_dedup, toxicity
-from chronolink.llm.common import table
-
-#: Bytes of rows that a Python worker is handed at a time.
-BATCH_BYTES = "8m"
+from chronolink.llm import packing, pii, simhash, suffix_dedup, toxicity
+from chronolink.llm.common import small_batches, table
+from chronolink.llm.packing import byte_level_encoder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +19,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def gpt_encoder():
+    """The encoder of the public byte-level vocabulary, found on the worker that asks for it."""
+    import public_tokenizers
+
+    return byte_level_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), gpt_encoder)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -47,14 +56,14 @@ def _bounded(query: Query) -> Query:
     """``query`` with small batches for its Python workers, so that long texts do not add up."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        small_batches(spark)
         return query(spark, sf_dir)
 
     return run
 
 
 def queries() -> dict[str, Query]:
-    found = {"op1_simhash": op1_simhash, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
+    found = {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
         "op6_suffix_dedup": op6_suffix_dedup,
     }
     return {name: _bounded(query) for name, query in found.items()}

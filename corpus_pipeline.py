@@ -1,31 +1,69 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stages before it kept. Columns
+beyond those of ``documents`` pass through; null and empty texts are texts like others.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import simhash, toxicity
-from chronolink.llm.common import table, written
+from chronolink.llm import packing, pii, simhash, suffix_dedup, toxicity
+from chronolink.llm.common import small_batches, table, written
+from chronolink.llm.queries import gpt_encoder
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars``, where there is one, brought in line with a changed text."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents that the model, fitted on the labelled ones, calls toxic."""
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_llm_row")), model)
+    scored = toxicity.score(docs.select("text", F.struct(*docs.columns).alias("_llm_row")), model)
     return scored.filter("predicted = 0").select("_llm_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies keep the document with the least id, repeated rows once."""
+    """Of each group of near copies keep the document with the least id; repeated rows stay once."""
+    small_batches(spark)
     found = simhash.near_duplicates(docs)
-    kept = found.filter("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id"])
+    kept = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_llm_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left_semi").dropDuplicates(["doc_id"])
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut every long string that starts in more than one place out of all texts."""
+    small_batches(spark)
+    cut = suffix_dedup.dedup(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_llm_kept_row")), with_text=True)
+    row = F.col("_llm_kept_row")
+    columns = [
+        F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(row["text"]).alias("text") if c == "text" else row[c].alias(c)
+        for c in docs.columns
+    ]
+    return with_length(cut.select(*columns))
+
+
+def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by the name of its kind."""
+    return with_length(pii.redact(docs))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in training sequences."""
+    small_batches(spark)
+    return packing.pack(docs, gpt_encoder)
 
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("near_copies", drop_near_copies),
+    ("simhash", drop_near_copies),
+    ("suffix_dedup", drop_repeats),
+    ("pii", redact_personal),
+    ("packing", pack_sequences),
 ]
 
 #: A fitted model decides what stays, which SQL cannot state; tests compare with a brute-force version.
