@@ -66,7 +66,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Large and small stars in turn until nothing changes. The least neighbour is found by a minimum
     that is combined before the shuffle, so a hub costs one row per task there; its links meet that
-    minimum in a join, which AQE splits. Nodes without a link to another node are not returned.
+    minimum in a join of its own, which AQE splits. Nodes without a link to another node are not returned.
     """
     edges = checkpointed(
         links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -74,9 +74,10 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
+        low = checkpointed(both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low")))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        large = checkpointed(large)
+        low = checkpointed(large.groupBy("a").agg(F.min("b").alias("low")))
         met = large.join(low, "a")
         small = met.select("a", F.col("low").alias("b")).unionByName(
             met.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import packing, pii, simhash, suffix_dedup, toxicity
+from chronolink.llm import bpe, packing, pii, simhash, suffix_dedup, toxicity
 from chronolink.llm.common import small_batches, table
 from chronolink.llm.packing import byte_level_encoder
 
@@ -52,6 +52,13 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def _bounded(query: Query) -> Query:
     """``query`` with small batches for its Python workers, so that long texts do not add up."""
 
@@ -64,7 +71,7 @@ def _bounded(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
-        "op6_suffix_dedup": op6_suffix_dedup,
+        "op6_suffix_dedup": op6_suffix_dedup, "op9_bpe": op9_bpe,
     }
     return {name: _bounded(query) for name, query in found.items()}
 

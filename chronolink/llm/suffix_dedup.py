@@ -410,6 +410,7 @@ def repeated_spans(
         counts = rows.groupBy("anchor").agg(
             F.count("*").alias("n"), F.expr("min(xxhash64(rec)) <> max(xxhash64(rec))").alias("mixed")
         ).filter("n > 1").select("anchor", "mixed")
+        counts = written(counts, "counts")  # so that both sides of the join come from a shuffle, which AQE can split
         shared = written(rows.join(counts, "anchor"), "shared")
         # a record's copies: one stands for all in the shards
         recs = written(
