@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import bpe, packing, pii, simhash, suffix_dedup, toxicity
+from chronolink.llm import bpe, packing, pii, secret_scan, simhash, suffix_dedup, toxicity
 from chronolink.llm.common import small_batches, table
 from chronolink.llm.packing import byte_level_encoder
 
@@ -30,6 +30,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), gpt_encoder)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    names = ("assign", "access", "hex")
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{n}')) AS long)").alias(f"n_{n}") for n in names]
+    base = F.filter("spans", lambda s: s["kind"].isin(*names))
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listing(base), 256).alias("base_sha256"), pii.listing(F.col("spans")).alias("spans")
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -70,7 +80,8 @@ def _bounded(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    found = {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
+    found = {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op3_secret_scan": op3_secret_scan,
+        "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
         "op6_suffix_dedup": op6_suffix_dedup, "op9_bpe": op9_bpe,
     }
     return {name: _bounded(query) for name, query in found.items()}
