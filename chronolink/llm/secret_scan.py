@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from chronolink.llm.common import whole_text
 
 #: Log10 of the guesses from which a value counts as chosen to be secret.
-SECRET_COST = 9.0
+SECRET_COST = 10.5
 
 # Words that guessing starts with, most likely first.
 WORDS = (
