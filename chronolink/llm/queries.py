@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import bpe, packing, pii, secret_scan, simhash, suffix_dedup, toxicity
+from chronolink.llm import bpe, hash_forest, packing, pii, secret_scan, simhash, suffix_dedup, toxicity
 from chronolink.llm.common import small_batches, table
 from chronolink.llm.packing import byte_level_encoder
 
@@ -69,6 +69,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hash_forest.nearest(rows, rows.filter("vec_id % 20 = 0"))
+
+
 def _bounded(query: Query) -> Query:
     """``query`` with small batches for its Python workers, so that long texts do not add up."""
 
@@ -82,7 +87,7 @@ def _bounded(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op3_secret_scan": op3_secret_scan,
         "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
-        "op6_suffix_dedup": op6_suffix_dedup, "op9_bpe": op9_bpe,
+        "op6_suffix_dedup": op6_suffix_dedup, "op9_bpe": op9_bpe, "op10_hash_forest": op10_hash_forest,
     }
     return {name: _bounded(query) for name, query in found.items()}
 
