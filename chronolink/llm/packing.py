@@ -46,7 +46,7 @@ def byte_level_encoder(path: str) -> Callable[[str], np.ndarray]:
 
 
 def project(ids: np.ndarray, dimensions: int = DIMENSIONS, order: int = ORDER) -> list[int]:
-    """Cells of a document: its hashed ids and pairs of ids, summed with random signs per dimension.
+    """Cells of a document: its distinct hashed ids and pairs of ids, summed with random signs per dimension.
 
     The sum over n features is about normal with variance n; its distribution function spreads it
     evenly over ``2 ** order`` cells.
@@ -54,7 +54,7 @@ def project(ids: np.ndarray, dimensions: int = DIMENSIONS, order: int = ORDER) -
     x = ids.astype(np.uint64) + np.uint64(1)
     features = np.concatenate([x, x[:-1] * np.uint64(1 << 20) + x[1:]]) * _MIX
     features ^= features >> np.uint64(29)
-    features *= _MIX
+    features = np.unique(features * _MIX)
     cells = 1 << order
     out = []
     for d in range(dimensions):
