@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import bpe, hash_forest, packing, paragraph_sketch, pii, secret_scan, simhash, suffix_dedup, toxicity
+from chronolink.llm import bpe, compact_windows, hash_forest, packing, paragraph_sketch, pii, secret_scan, simhash, suffix_dedup, toxicity
 from chronolink.llm.common import small_batches, table
 from chronolink.llm.packing import byte_level_encoder
 
@@ -62,6 +62,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_sketch.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -91,7 +95,7 @@ def _bounded(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op3_secret_scan": op3_secret_scan,
         "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
-        "op6_suffix_dedup": op6_suffix_dedup, "op8_paragraph_sketch": op8_paragraph_sketch,
+        "op6_suffix_dedup": op6_suffix_dedup, "op7_compact_windows": op7_compact_windows, "op8_paragraph_sketch": op8_paragraph_sketch,
         "op9_bpe": op9_bpe, "op10_hash_forest": op10_hash_forest,
     }
     return {name: _bounded(query) for name, query in found.items()}
