@@ -83,11 +83,13 @@ def _spans_of(kind: Kind) -> str:
         cast(array() AS array<struct<kind: string, start: bigint, end: bigint, score: double>>) END"""
 
 
-def detect(docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``spans``: array of ``(kind, start, end, score)`` by kind as listed, then start.
+def detect(
+    docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED, threshold: float = THRESHOLD, column: str = "spans"
+) -> DataFrame:
+    """``docs`` with ``column``: array of ``(kind, start, end, score)`` by kind as listed, then start.
 
     Positions are code points, the end is exclusive. Spans of ``BASE`` kinds are all kept, those of
-    others from ``threshold`` on. Null and empty texts have no spans; a column named spans is replaced.
+    others from ``threshold`` on. Null and empty texts have no spans; a column of that name is replaced.
     """
     base = {k.name for k in BASE}
     inner = docs.select(F.struct(*docs.columns).alias("_llm_row"), whole_text().alias("text"))
@@ -95,14 +97,14 @@ def detect(docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED, threshold: f
     for kind in kinds:
         spans = F.expr(_spans_of(kind))
         found.append(spans if kind.name in base else F.filter(spans, lambda s: s["score"] >= threshold))
-    rest = [F.col("_llm_row")[c].alias(c) for c in docs.columns if c != "spans"]
-    return inner.select(*rest, F.concat(*found).alias("spans"))
+    rest = [F.col("_llm_row")[c].alias(c) for c in docs.columns if c != column]
+    return inner.select(*rest, F.concat(*found).alias(column))
 
 
 def redact(docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with each span of the text replaced by its kind in brackets; overlapping spans become one,
     named after the first. Texts without spans, null among them, stay as they are."""
-    found = detect(docs, kinds, threshold).withColumnRenamed("spans", "_llm_spans")
+    found = detect(docs, kinds, threshold, "_llm_spans")
     ordered = "array_sort(transform(_llm_spans, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind)))"
     cut = f"""aggregate({ordered}, named_struct('out', '', 'at', 0L), (acc, s) -> CASE
         WHEN s.start < acc.at THEN named_struct('out', acc.out, 'at', greatest(acc.at, s.end))

@@ -74,7 +74,7 @@ def keyed(nodes: DataFrame, budget: int = BUDGET, split_rows: int = SPLIT_ROWS)
     """``nodes (fp)`` under keys ``(level, path, key)`` that each linked pair shares at least once.
 
     A key with over ``split_rows`` rows is replaced by longer ones, so a dense region of the space is
-    spread as well. At the last level a key leaves at most 20 bits free, which bounds its rows.
+    spread as well. At the last level a key leaves at most 21 bits free, which bounds its rows.
     """
     parts = budget + 1
     path = F.explode(F.array(*[F.lit(k) for k in range(parts)]))
