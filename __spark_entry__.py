@@ -133,12 +133,21 @@ def pair_files(spark, sf):
 
 
 # --- filters ---------------------------------------------------------------------------------------
-def filter_categories(max_inline: int) -> Query:
-    def run(spark, sf):
-        rules = spark.createDataFrame(list(oracles.CATEGORY_RULES), "category STRING, mode STRING")
-        return filters.filter_categories(article_pages(spark, sf), rules, max_inline).select("page_id", "title")
+def filter_categories(spark, sf):
+    rules = spark.createDataFrame(list(oracles.CATEGORY_RULES), "category STRING, mode STRING")
+    return filters.filter_categories(article_pages(spark, sf), rules).select("page_id", "title")
 
-    return run
+
+def filter_categories_join(spark, sf):
+    """Excluding rules on pages in two revisions, of which one may have no text."""
+    base = article_pages(spark, sf)
+    newer = base.filter("page_id % 7 = 0").withColumns({
+        "rev_id": F.col("rev_id") + 1,
+        "wikitext": F.expr("CASE WHEN page_id % 2 = 1 THEN replace(wikitext, '[[Category:', '[[Topic:') END"),
+    })
+    rules = spark.createDataFrame([r for r in oracles.CATEGORY_RULES if r[1] == "exclude"], "category STRING, mode STRING")
+    rules = rules.unionByName(spark.createDataFrame([("FURNITURE", "exclude")], rules.schema))
+    return filters.filter_categories(base.unionByName(newer), rules).select("page_id", "rev_id")
 
 
 def id_range(spark, sf):
@@ -260,7 +269,7 @@ def phrase_counts(spark, sf):
     path = scratch_path(spark, "phrases")
     w = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")
     passages = table(spark, sf, "benchmark").select(w.alias("w")).filter(F.size("w") >= 4)
-    spans = [(1, 2), (1, 3), (2, 3), (3, 2)]
+    spans = [(1, 2), (1, 3), (2, 3), (3, 2), (2, 5), (1, 6)]
     phrase = F.explode(F.array(*[F.array_join(F.slice("w", a, n), " ") for a, n in spans]))
     listed = passages.select(phrase.alias("phrase"))
     listed.select(F.concat("phrase", F.lit("\tNN NN")).alias("value")).write.text(path)
@@ -293,7 +302,7 @@ def stream_incremental(spark, sf):
     found = streams.run_to_end(
         spark, lambda p, c: streams.stream_incremental(source, stored, p, c), "stream-incremental"
     )
-    return flat_pairs(found.drop("batch_id"))
+    return flat_pairs(found.drop("run", "batch_id"))
 
 
 # --- scalar mapping --------------------------------------------------------------------------------------
@@ -358,8 +367,8 @@ def queries() -> dict[str, Query]:
         "keep_articles": lambda s, d: article_pages(s, d).select("page_id", "rev_id", "title"),
         "drop_disambig": lambda s, d: filters.drop_disambig(article_pages(s, d)).select("page_id", "title"),
         "page_categories": lambda s, d: filters.page_categories(article_pages(s, d)),
-        "filter_categories": filter_categories(filters.MAX_INLINE_RULES),
-        "filter_categories_join": filter_categories(0),
+        "filter_categories": filter_categories,
+        "filter_categories_join": filter_categories_join,
         "id_range": id_range,
         "min_length": min_length,
         # cleaning

@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronolink.functions.compose import let
-from chronolink.operators.joins import salted_join
 
 CATEGORY_LINE = r"(?m)^\s*\[\[Category:([^|\]\n]+)"
 DISAMBIGUATION_LINE = r"(?m)^(?:\{\{disambig(?:uation)?(?:\|[^}]*)?\}\}|__DISAMBIG__)"
 
-# More rules than this are joined instead of being written into the predicate.
-MAX_INLINE_RULES = 1000
-
 
 def keep_articles(pages: DataFrame) -> DataFrame:
     """Main name space, no redirects."""
@@ -51,41 +46,26 @@ def page_categories(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.explode(category_names(F.col("wikitext"))).alias("category"))
 
 
-def filter_categories(
-    pages: DataFrame, rules: DataFrame, max_inline: int = MAX_INLINE_RULES
-) -> DataFrame:
-    """Keep a page if it has an included category (or none is asked for) and no excluded one.
+def filter_categories(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Keep a row if it has an included category (or none is asked for) and no excluded one.
 
-    ``rules`` has the columns category and mode (``include`` or ``exclude``). A rule set of a checked
-    size becomes part of the predicate: no join, no shuffle of page text. A larger one is joined on
-    the category, and only page ids take part in that join.
+    ``rules`` has the columns category and mode (``include`` or ``exclude``), of any number. Each row is
+    decided by its own text; a null text has no categories. Rules are applied to the distinct sets of
+    categories, without page text, and the sets that pass select the rows: where they are few, AQE
+    broadcasts them and pages stay where they are.
     """
-    head = rules.select("category", "mode").distinct().take(max_inline + 1)
-    if len(head) <= max_inline:
-        names = {m: sorted(r.category for r in head if r.mode == m) for m in ("include", "exclude")}
-
-        def matches(categories: Column) -> Column:
-            keep = F.lit(True)
-            if names["include"]:
-                keep = F.arrays_overlap(categories, F.lit(names["include"]))
-            if names["exclude"]:
-                keep = keep & ~F.arrays_overlap(categories, F.lit(names["exclude"]))
-            return keep
-
-        if not head:
-            return pages
-        return pages.filter(let(category_names(F.col("wikitext")), matches))
-
-    # One narrow pass: which pages hit an included, which an excluded category.
-    names = rules.select("category", "mode").distinct()
+    named = F.coalesce(F.array_sort(category_names(F.col("wikitext"))), F.array().cast("array<string>"))
+    sets = pages.select(named.alias("_categories")).distinct()
     hits = (
-        salted_join(page_categories(pages), names, "category", ["page_id"], "inner")
-        .groupBy("page_id")
+        sets.select("_categories", F.explode_outer("_categories").alias("category"))
+        .join(rules.select("category", "mode"), "category", "left")
+        .groupBy("_categories")
         .agg(
-            F.max(F.col("mode") == "include").alias("included"),
-            F.max(F.col("mode") == "exclude").alias("excluded"),
+            F.coalesce(F.max(F.col("mode") == "include"), F.lit(False)).alias("included"),
+            F.coalesce(F.max(F.col("mode") == "exclude"), F.lit(False)).alias("excluded"),
         )
     )
-    if rules.filter(F.col("mode") == "include").isEmpty():
-        return pages.join(hits.filter("excluded"), "page_id", "left_anti")
-    return pages.join(hits.filter("included AND NOT excluded"), "page_id", "left_semi")
+    if not rules.filter(F.col("mode") == "include").isEmpty():
+        hits = hits.filter("included")
+    passing = hits.filter("NOT excluded").select("_categories")
+    return pages.withColumn("_categories", named).join(passing, "_categories", "left_semi").drop("_categories")

@@ -23,7 +23,3 @@ def salted_join(
         lookup.withColumn("_salt", copies), [on, "_salt"], how
     ).drop("_salt")
 
-
-def at_most(df: DataFrame, n: int) -> bool:
-    """Has ``df`` at most ``n`` rows? Counts no further than that."""
-    return df.limit(n + 1).count() <= n

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from chronolink.functions.compose import let
 from chronolink.functions.titles import upper_first
-from chronolink.operators.joins import salted_join
 
 # --- fixed values -------------------------------------------------------------------------------
 # Characters cut off in front of and behind a word.
@@ -248,40 +247,38 @@ def clitic_counts(documents: DataFrame) -> DataFrame:
     )
 
 
-def phrase_hits(documents: DataFrame, phrases: DataFrame, max_words: int) -> DataFrame:
+def phrase_hits(documents: DataFrame, phrases: DataFrame) -> DataFrame:
     """Listed phrases of two or more words at every position, the longest one per position.
 
-    A listed word fits a token as it is, in lower case, or capitalised; candidates are found by an
-    equi-join on the lower-cased n-gram. ``max_words`` is the length of the longest phrase.
+    A listed word fits a token as it is, in lower case, or capitalised. The first two words, in lower
+    case, find the candidates; only where they meet are the words ahead compared. Phrases may have any
+    number of words: how far to look ahead is read off the list.
     """
-    listed = (
-        phrases.select(F.split(F.trim("phrase"), r"\s+").alias("words"))
-        .filter(F.size("words") > 1)
-        .distinct()
-        .withColumn("key", F.lower(F.array_join("words", " ")))
-    )
+    listed = phrases.select(F.split(F.trim("phrase"), r"\s+").alias("words")).filter(F.size("words") > 1)
+    listed = listed.withColumn("key", F.lower(F.concat_ws(" ", F.col("words")[0], F.col("words")[1])))
+    longest = listed.agg(F.coalesce(F.max(F.size("words")), F.lit(2))).first()[0]
     ahead = let(
         split_words(F.col("text")),
-        lambda t: F.transform(t, lambda _, i: F.slice(t, i + 1, max_words)),
+        lambda t: F.transform(t, lambda _, i: F.slice(t, i + 1, longest)),
     )
-    lengths = F.sequence(F.lit(2), F.size("ahead"))
-    grams = (
+    starts = (
         documents.select("doc_id", F.posexplode(ahead).alias("pos", "ahead"))
         .filter(F.size("ahead") >= 2)
-        .select("doc_id", "pos", "ahead", F.explode(lengths).alias("n"))
-        .select("doc_id", "pos", "n", F.slice("ahead", F.lit(1), F.col("n")).alias("gram"))
-        .withColumn("key", F.lower(F.array_join("gram", " ")))
+        .withColumn("key", F.lower(F.concat_ws(" ", F.col("ahead")[0], F.col("ahead")[1])))
     )
 
     def fits(word: Column, token: Column) -> Column:
         low = F.lower(token)
         return (word == token) | (word == low) | (word == upper_first(low))
 
-    matched = salted_join(grams, listed, "key", ["doc_id", "pos"], "inner").filter(
-        F.forall(F.zip_with("words", "gram", fits), lambda ok: ok)
+    # both sides come straight from their tables, so AQE broadcasts a short list and splits a hot key
+    n = F.size("words")
+    matched = starts.join(listed, "key").filter(
+        (n <= F.size("ahead"))
+        & F.forall(F.zip_with("words", F.slice("ahead", F.lit(1), n), fits), lambda ok: ok)
     )
     return matched.groupBy("doc_id", "pos").agg(
-        F.max(F.struct("n", F.array_join("words", " ").alias("phrase"))).alias("longest")
+        F.max(F.struct(n.alias("n"), F.array_join("words", " ").alias("phrase"))).alias("longest")
     ).select("doc_id", "pos", "longest.n", "longest.phrase")
 
 
@@ -321,10 +318,10 @@ def resolve_overlaps(hits: DataFrame) -> DataFrame:
     )
 
 
-def phrase_counts(documents: DataFrame, phrases: DataFrame, max_words: int = 4) -> DataFrame:
+def phrase_counts(documents: DataFrame, phrases: DataFrame) -> DataFrame:
     """How often each listed phrase is read when a text is scanned from left to right."""
     return (
-        resolve_overlaps(phrase_hits(documents, phrases, max_words))
+        resolve_overlaps(phrase_hits(documents, phrases))
         .groupBy("phrase")
         .agg(F.count(F.lit(1)).alias("n"))
     )

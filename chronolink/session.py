@@ -32,10 +32,14 @@ def build_session(app: str = "chronolink", master: str | None = None, **conf: st
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table or a stream checkpoint.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset (tests, a laptop) a local temporary folder is used.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Where that is unset, a
+    local session (tests, a laptop) gets a temporary folder, and a cluster an error: each executor
+    would write to a disk of its own.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="chronolink-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chronolink.operators.pages import REVISION, changed_pages
+from chronolink.operators.pages import REVISION
 from chronolink.plans.articles import extract_pairs
 from chronolink.session import scratch_path
 
@@ -48,18 +51,30 @@ def stream_dedupe(
 def stream_incremental(
     pages: DataFrame, stored: DataFrame, path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Extract only revisions that are not in ``stored``.
+    """Extract only revisions that are neither in ``stored`` nor extracted by an earlier batch.
 
-    Every batch goes to a folder of its own and overwrites it, so a repeated batch changes nothing.
+    A batch goes to a folder named after its checkpoint and its number, with its keys beside it in
+    ``<path>-keys``: repeated, it overwrites itself; a new checkpoint begins folders of its own and
+    finds what older ones have written. One writer at a time.
     """
+    spark = pages.sparkSession
+    done = f"{path.rstrip('/')}-keys"
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    keys = stored.select(*REVISION)
+    # so that there is a table to read before the first batch
+    keys.limit(0).withColumns({"run": F.lit(""), "batch_id": F.lit(-1)}).write.mode("append").partitionBy(
+        "run", "batch_id"
+    ).parquet(done)
+    schema = f"{', '.join(f'{c} {t}' for c, t in keys.dtypes)}, run STRING, batch_id LONG"
 
     def extract_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            fresh = extract_pairs(changed_pages(batch, stored))
-            fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        part = f"run={run}/batch_id={batch_id}"
+        own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+        earlier = spark.read.schema(schema).parquet(done).filter(~own).select(*REVISION)
+        known = keys.unionByName(earlier)
+        fresh = batch.dropDuplicates(REVISION).join(known, REVISION, "left_anti")
+        extract_pairs(fresh).write.mode("overwrite").parquet(f"{path}/{part}")
+        fresh.select(*REVISION).write.mode("overwrite").parquet(f"{done}/{part}")
 
     return (
         pages.writeStream.foreachBatch(extract_batch)

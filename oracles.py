@@ -241,7 +241,8 @@ tc AS (SELECT lang, token, CAST(sum(n) AS BIGINT) AS n FROM tk WHERE token <> ''
 ABBREVIATIONS = r"SELECT DISTINCT regexp_extract(text, '(?:^|\s)(\p{L}{2,3})\.', 1) AS word FROM documents"
 
 PHRASES = """SELECT DISTINCT p AS phrase FROM (
-    SELECT unnest([w[1] || ' ' || w[2], w[1] || ' ' || w[2] || ' ' || w[3], w[2] || ' ' || w[3] || ' ' || w[4], w[3] || ' ' || w[4]]) AS p
+    SELECT unnest([w[1] || ' ' || w[2], w[1] || ' ' || w[2] || ' ' || w[3], w[2] || ' ' || w[3] || ' ' || w[4], w[3] || ' ' || w[4],
+      array_to_string(w[2:6], ' '), array_to_string(w[1:6], ' ')]) AS p
     FROM (SELECT string_split(replace(text, chr(10), ' '), ' ') AS w FROM benchmark WHERE len(string_split(replace(text, chr(10), ' '), ' ')) >= 4))
   WHERE p IS NOT NULL"""
 
@@ -260,10 +261,9 @@ pw AS (SELECT phrase, list_filter(string_split(phrase, ' '), lambda x: x <> '')
 pl AS (SELECT DISTINCT p, len(p) AS k, array_to_string(p, ' ') AS phrase FROM pw WHERE len(p) > 1),
 tx AS (SELECT doc_id, {toks} AS t FROM documents),
 ps AS (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM tx),
-pr AS (SELECT doc_id, i, lower(t[i]) AS a, t[i:i+3] AS g FROM ps),
-hit AS (SELECT doc_id, i, k, phrase FROM pr JOIN pl ON a = lower(p[1])
-        WHERE len(g) >= k AND {fit.format('p[1]', 'g[1]')} AND {fit.format('p[2]', 'g[2]')}
-          AND (k < 3 OR {fit.format('p[3]', 'g[3]')}) AND (k < 4 OR {fit.format('p[4]', 'g[4]')})),
+pr AS (SELECT doc_id, i, lower(t[i]) AS a, lower(t[i + 1]) AS b, t[i:i + (SELECT max(k) FROM pl)] AS g FROM ps),
+hit AS (SELECT doc_id, i, k, phrase FROM pr JOIN pl ON a = lower(p[1]) AND b = lower(p[2])
+        WHERE len(g) >= k AND list_bool_and(list_transform(range(1, k + 1), lambda j: {fit.format('p[j]', 'g[j]')}))),
 lo AS (SELECT doc_id, i, max(k) AS k, arg_max(phrase, (k, phrase)) AS phrase FROM hit GROUP BY ALL)"""
 
 
@@ -301,7 +301,9 @@ def oracle_sql() -> dict[str, str]:
         exc AS (SELECT DISTINCT page_id FROM cat JOIN rules USING (category) WHERE mode = 'exclude')"""
     sql["filter_categories"] = f"""{with_(*BASE, categories, filtered)} SELECT page_id, title FROM pg
         WHERE page_id IN (FROM inc) AND page_id NOT IN (FROM exc)"""
-    sql["filter_categories_join"] = sql["filter_categories"]
+    sql["filter_categories_join"] = f"""{with_(*BASE)}, two AS (SELECT page_id, rev_id, wikitext FROM pg UNION ALL
+        SELECT page_id, rev_id + 1, CASE WHEN page_id % 2 = 1 THEN replace(wikitext, '[[Category:', '[[Topic:') END FROM pg WHERE page_id % 7 = 0)
+        SELECT page_id, rev_id FROM two WHERE NOT list_has_any(coalesce({cats}, []), ['NATION_15 in 1998', 'FURNITURE'])"""
     sql["id_range"] = "SELECT doc_id AS page_id, lang, n_chars FROM documents WHERE doc_id >= 100 AND doc_id <= 900"
     sql["min_length"] = f"""SELECT doc_id AS page_id, n_chars FROM documents
         WHERE length(source || {NL}) + length(replace(text, {NL}, '')) >= 1000"""

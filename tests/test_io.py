@@ -173,6 +173,43 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     for checkpoint in ("c1", "c2"):  # the second run starts over, as after a lost checkpoint
         source = spark.readStream.schema(pages.schema).parquet(path)
         streams.stream_incremental(source, stored, out, str(tmp_path / checkpoint)).awaitTermination()
-    found = spark.read.parquet(out).drop("batch_id")
+    found = spark.read.parquet(out).drop("run", "batch_id")
     expected = extract_pairs(pages.filter("page_id % 2 = 1"))
     assert found.count() == expected.count() and found.exceptAll(expected).isEmpty()
+
+
+def test_a_revision_in_two_batches_and_a_new_checkpoint(spark, tmp_path):
+    """Extracted once, and what an older checkpoint wrote stays."""
+    pages = keep_articles(corpus(spark, SF)).limit(40).cache()
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    pages.coalesce(1).write.parquet(path)
+    pages.coalesce(1).write.mode("append").parquet(path)
+    stored = pages.limit(0).select("page_id", "rev_id")
+    source = lambda: spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    streams.stream_incremental(source(), stored, out, str(tmp_path / "c1")).awaitTermination()
+    more = pages.withColumn("page_id", F.col("page_id") + 1_000_000)
+    more.coalesce(1).write.mode("append").parquet(path)
+    streams.stream_incremental(source(), stored, out, str(tmp_path / "c2")).awaitTermination()
+    found = spark.read.parquet(out).drop("run", "batch_id")
+    expected = extract_pairs(pages.unionByName(more))
+    assert found.count() == expected.count() and found.exceptAll(expected).isEmpty()
+
+
+def test_dump_parts_are_documents(spark, tmp_path):
+    import xml.etree.ElementTree as ET
+
+    pages = corpus(spark, SF).limit(50)
+    writers.write_dump(pages.repartition(3), str(tmp_path / "d"), {0: "", 10: "Te<mp & late"}, "https://x/a&b/Main")
+    found = [ET.parse(f).getroot() for f in glob.glob(f"{tmp_path}/d/part-*")]
+    assert all(root.tag == "mediawiki" for root in found)
+    assert sum(len(root.findall("page")) for root in found) == 50
+    assert dump.read_dump(spark, str(tmp_path / "d")).exceptAll(pages).isEmpty()
+
+
+def test_rejects_are_kept_apart(spark, tmp_path):
+    (tmp_path / "docs").write_text('<doc id="1" revid="2" title="A">\nA\n\nx\n\n</doc>\n<doc id="3" title="a > b">\nq\n\ny\n\n</doc>\n')
+    assert [r.page_id for r in docs.read_docs(spark, str(tmp_path / "docs")).collect()] == [1]
+    assert docs.read_rejects(spark, str(tmp_path / "docs")).count() == 1
+    (tmp_path / "dump").write_text("<mediawiki><page><title>A</title><id>1</id></page>\n<page><title>B</titel></page></mediawiki>")
+    assert dump.read_dump(spark, str(tmp_path / "dump")).count() == 1
+    assert dump.dump_rejects(spark, str(tmp_path / "dump")).count() == 1

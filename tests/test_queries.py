@@ -3,9 +3,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 import check
+import oracles
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+SQL = oracles.oracle_sql()
+QUERIES = {name: query for name, query in entry_points.queries().items() if not name.startswith("op") and name != "pipeline"}
 
 
 @pytest.fixture(scope="module")

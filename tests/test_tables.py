@@ -23,11 +23,20 @@ RULED = [
     ([("A", "include"), ("A", "exclude")], []),
     ([("zzz", "include")], []),
 ])
-def test_category_rules_inline_and_joined(spark, page, rules, expected):
+def test_category_rules(spark, page, rules, expected):
     table = spark.createDataFrame(rules, "category STRING, mode STRING")
-    for limit in (1000, 0):
-        kept = filters.filter_categories(page(*RULED), table, max_inline=limit)
-        assert sorted(r.page_id for r in kept.collect()) == expected
+    kept = filters.filter_categories(page(*RULED), table)
+    assert sorted(r.page_id for r in kept.collect()) == expected
+
+
+def test_category_rules_decide_row_by_row(spark):
+    """Two revisions of a page, and a page without text."""
+    rows = [(1, 10, "[[Category:A]]"), (1, 11, "none"), (2, 20, None)]
+    pages_df = spark.createDataFrame(rows, "page_id LONG, rev_id LONG, wikitext STRING")
+    rule = lambda *r: spark.createDataFrame(list(r), "category STRING, mode STRING")
+    kept = lambda r: sorted((x.page_id, x.rev_id) for x in filters.filter_categories(pages_df, r).collect())
+    assert kept(rule(("A", "include"))) == [(1, 10)]
+    assert kept(rule(("A", "exclude"))) == [(1, 11), (2, 20)]
 
 
 @pytest.mark.parametrize("text, kept", [
@@ -71,8 +80,7 @@ def test_reused_and_changed_are_all(spark, page):
     assert sorted(r.page_id for r in changed.collect()) == [2, 3, 4, 5]
     marked = pages.mark_reusable(new, old)
     assert marked.count() == 6 and sorted(r.page_id for r in marked.filter("reusable").collect()) == [0, 1]
-    for limit in (100, 0):
-        assert sorted(r.page_id for r in pages.changed_pages(new, old, limit).collect()) == [2, 3, 4, 5]
+    assert sorted(r.page_id for r in pages.changed_pages(new, old).collect()) == [2, 3, 4, 5]
     unknown = new.withColumn("rev_id", F.when(F.col("page_id") != 3, F.col("rev_id")))
     assert sorted(r.page_id for r in pages.changed_pages(unknown, old).collect()) == [2, 3, 4, 5]
     stored = old.distinct().select("*", F.lit("t").alias("title"), F.lit("stored").alias("text"))
@@ -245,12 +253,12 @@ def read_phrases(words, phrases):
 
 def test_phrases_against_a_plain_loop(spark):
     rng = random.Random(7)
-    phrases = ["a b", "a b c", "b c", "c a", "A a", "a a", "b b b b", "c", "New york", "x y z w v"]
+    phrases = ["a b", "a b c", "b c", "c a", "A a", "a a", "b b b b", "c", "New york", "x y z w v", "a b c a b c a"]
     texts = [" ".join(rng.choice(["a", "b", "c", "A", "B"]) for _ in range(60)) for _ in range(80)]
     texts += ["a a a a a a a", "NEW YORK new York New york", "x y z w v x y", "a", ""]
     documents = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
     table = spark.createDataFrame([(p, "NN") for p in phrases], "phrase STRING, tags STRING")
-    got = {r.phrase: r.n for r in tokens.phrase_counts(documents, table, max_words=5).collect()}
+    got = {r.phrase: r.n for r in tokens.phrase_counts(documents, table).collect()}
     want = {}
     for t in texts:
         for phrase, n in read_phrases(t.split(), phrases).items():
