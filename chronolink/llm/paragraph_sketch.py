@@ -14,7 +14,11 @@ from chronolink.llm.common import whole_text, written
 
 CELLS = 24
 ROUNDS = 12
-RETRIES = 4
+#: Cells of one row of a larger sketch, digests that a row gets on average, rounds of peeling it, retries.
+ROW_CELLS = 12
+ROW_DIGESTS = 3
+ROW_ROUNDS = 5
+RETRIES = 3
 #: Where one paragraph ends: line ends, and within a line the ends of sentences and table cells.
 BOUNDARY = r"(?<=[.!?|])\s+|\n+"
 
@@ -43,7 +47,7 @@ def cells_of(found: str, seed: str = "0", cells: int = CELLS) -> str:
     )
 
 
-def peeled(mine: str, other: str, seed: str = "0", cells: int = CELLS) -> str:
+def peeled(mine: str, other: str, seed: str = "0", cells: int = CELLS, rounds: int = ROUNDS) -> str:
     """SQL: how many digests the difference of two sketches holds; null where it can't be taken apart."""
     minus = f"zip_with({mine}, {other}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c))"
     pure = f"""array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 AND x.c = ({_CHECK.format(k='x.k')})),
@@ -53,7 +57,7 @@ def peeled(mine: str, other: str, seed: str = "0", cells: int = CELLS) -> str:
         'cells', transform(s.cells, (x, i) -> aggregate(filter(ps, p -> array_contains(p.at, i)), x,
             (x, p) -> named_struct('n', x.n - p.n, 'k', x.k ^ p.k, 'c', x.c ^ p.c))),
         'found', s.found + size(ps)) END)"""
-    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {minus}, 'found', 0),
+    return f"""aggregate(sequence(1, {rounds}), named_struct('cells', {minus}, 'found', 0),
         (s, r) -> CASE WHEN exists(s.cells, x -> x.n <> 0 OR x.k <> 0) THEN {round_} ELSE s END,
         s -> CASE WHEN exists(s.cells, x -> x.n <> 0 OR x.k <> 0 OR x.c <> 0) THEN NULL ELSE s.found END)"""
 
@@ -62,36 +66,34 @@ def serialised(cells: str) -> str:
     return f"array_join(transform({cells}, x -> concat_ws('.', x.n, lower(hex(x.k)), lower(hex(x.c)))), '-')"
 
 
-def differences(pairs: DataFrame, keys: list[str], mine: str, other: str, out: str) -> DataFrame:
-    """``(*keys, out)``: how many digests two arrays of them differ in, by sketches larger than one row
-    of cells.
+def _row(found: str, level: int) -> str:
+    """SQL: in how many digests ``found.a`` and ``found.b`` differ, by one row of a larger sketch; where it
+    can't be taken apart, by eight rows in other places. Two digests that share all their places every time
+    are compared as sets in the end."""
+    if level == RETRIES:
+        return f"size(array_except({found}.a, {found}.b)) + size(array_except({found}.b, {found}.a))"
+    seed, name = str(level + 1), f"g{level + 1}"
+    tried = peeled(cells_of(f"{found}.a", seed, ROW_CELLS), cells_of(f"{found}.b", seed, ROW_CELLS), seed, ROW_CELLS, ROW_ROUNDS)
+    again = f"aggregate({_split(found, '8', 10 + level)}, 0, (t, {name}) -> t + {_row(name, level + 1)})"
+    return f"coalesce({tried}, {again})"
 
-    A larger sketch is many rows of cells; bits of a digest say which row it is added to. Rows that
-    cannot be taken apart are tried again with eight times as many; what is left after ``RETRIES``
-    times, two digests that share all their places each time, is compared as sets.
-    """
-    side = lambda c, s: f"transform({c}, d -> named_struct('d', d, 's', {s}))"
-    rows = pairs.select(
-        *keys, F.expr(f"int(greatest(1, (size({mine}) + size({other})) div 6))").alias("rows"),
-        F.expr(f"explode(concat({side(mine, 0)}, {side(other, 1)}))").alias("x"),
-    )
-    rows = rows.withColumn("row", F.expr("pmod(xxhash64(x.d, 5L), rows)"))
-    grouped = rows.groupBy(*keys, "row").agg(
-        F.expr("collect_list(x.d) FILTER (WHERE x.s = 0)").alias("a"),
-        F.expr("collect_list(x.d) FILTER (WHERE x.s = 1)").alias("b"),
-    )
 
-    def attempt(level: int) -> str:
-        if level == RETRIES:
-            return "size(array_except(a, b)) + size(array_except(b, a))"
-        seed = str(level + 1)
-        if level == 0:
-            return f"coalesce({peeled(cells_of('a', seed), cells_of('b', seed), seed)}, {attempt(1)})"
-        part = lambda c: f"filter({c}, d -> pmod(xxhash64(d, {seed}L), {8 ** level}) = j)"
-        tried = peeled(cells_of(part("a"), seed), cells_of(part("b"), seed), seed)
-        return f"coalesce(aggregate(transform(sequence(0, {8 ** level - 1}), j -> {tried}), 0, (t, x) -> t + x), {attempt(level + 1)})"
+def _split(found: str, parts: str, seed: int) -> str:
+    """SQL: the digests of ``found.a`` and ``found.b`` dealt over ``parts`` rows by a hash."""
+    dealt = lambda side: f"filter({found}.{side}, d -> pmod(xxhash64(d, {seed}L), {parts}) = o{seed})"
+    return f"transform(sequence(0, int({parts}) - 1), o{seed} -> named_struct('a', {dealt('a')}, 'b', {dealt('b')}))"
 
-    return grouped.withColumn("part", F.expr(attempt(0))).groupBy(*keys).agg(F.sum("part").alias(out))
+
+def differing(mine: str, other: str, mine_cells: str, other_cells: str) -> str:
+    """SQL: in how many digests two documents differ. First the sketches themselves are subtracted and
+    peeled; where they are too small, a larger sketch of as many rows as the digests ask for is tried. Rows
+    are dealt in two steps, so that the work for a long text grows less than with its square."""
+    both = f"named_struct('a', {mine}, 'b', {other})"
+    rows = f"((size({mine}) + size({other})) div {ROW_DIGESTS} + 1)"
+    step = f"ceil(sqrt({rows}))"
+    dealt = f"flatten(transform({_split(both, step, 5)}, g -> {_split('g', step, 6)}))"
+    larger = f"aggregate({dealt}, 0, (t, g0) -> t + {_row('g0', 0)})"
+    return f"coalesce({peeled(mine_cells, other_cells)}, {larger})"
 
 
 def likeness(mine: str, other: str, differing: str) -> str:
@@ -127,35 +129,31 @@ def fingerprints(docs: DataFrame, boundary: str = BOUNDARY) -> DataFrame:
     count as one document and are returned repeatedly; of one id with several texts, each is a
     document. A text is moved once, its beginning once more; the order is found on keys alone.
     """
-    base = docs.select("doc_id", whole_text().alias("text")).withColumns({
-        "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63) + 1)), "h": F.xxhash64("text"), "n": F.length("text"),
-    })
-    order = _order(base.select("id", "h", "n").distinct())
-    own = base.join(order, ["id", "h"])
+    least = F.lit(-(1 << 63) + 1)
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), least).alias("id"), whole_text().alias("text"))
+    base = base.withColumn("h", F.xxhash64("text"))
+    order = _order(base.select("id", "h", F.length("text").alias("n")).distinct())
+    own = base.join(order, ["id", "h"])  # both uses of it below read one shuffle of the texts
     following = own.select(
         F.col("prev_id").alias("id"), F.col("prev_h").alias("h"),
         F.expr("left(text, prev_n div 2)").alias("head"), F.expr(digests("text", boundary)).alias("next"),
     ).dropDuplicates(["id", "h"])
-    edited = "concat(left(text, n - n div 2), head)"
-    joined = own.select("id", "h", "doc_id", "text", "n").join(following, ["id", "h"])
-    joined = joined.withColumn("edited", F.expr(edited))
+    joined = own.select("id", "h", "text").join(following, ["id", "h"])
+    joined = joined.withColumn("n", F.length("text")).withColumn("edited", F.expr("concat(left(text, n - n div 2), head)"))
     found = joined.select(
-        "id", "h", "doc_id", "n", F.sha2("edited", 256).alias("edited_sha256"), "next",
+        "id", "n", F.sha2("edited", 256).alias("edited_sha256"), "next",
         F.expr(digests("text", boundary)).alias("own"), F.expr(digests("edited", boundary)).alias("changed"),
     )
     sketched = found.withColumns({
         "own_cells": F.expr(cells_of("own")), "changed_cells": F.expr(cells_of("changed")), "next_cells": F.expr(cells_of("next")),
     })
-    result = written(sketched.select(
-        "id", "h", "doc_id", "n", "edited_sha256", "own", "changed", "next",
-        F.expr(serialised("own_cells")).alias("fingerprint"), F.expr(serialised("changed_cells")).alias("edited_fingerprint"),
-        F.expr(peeled("own_cells", "changed_cells")).alias("d_edited"), F.expr(peeled("own_cells", "next_cells")).alias("d_next"),
-    ), "sketches")
-    for out, other in (("d_edited", "changed"), ("d_next", "next")):
-        again = result.filter(F.col(out).isNull()).select("id", "h", "own", other).dropDuplicates(["id", "h"])
-        larger = differences(again, ["id", "h"], "own", other, "larger")
-        result = result.join(larger, ["id", "h"], "left").withColumn(out, F.coalesce(out, "larger", F.lit(0))).drop("larger")
+    result = sketched.withColumns({
+        "d_edited": F.expr(differing("own", "changed", "own_cells", "changed_cells")),
+        "d_next": F.expr(differing("own", "next", "own_cells", "next_cells")),
+    })
     return result.select(
-        "doc_id", F.col("n").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
+        F.when(F.col("id") != least, F.col("id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        F.col("n").cast("long").alias("n_chars"), "edited_sha256", F.expr(serialised("own_cells")).alias("fingerprint"),
+        F.expr(serialised("changed_cells")).alias("edited_fingerprint"),
         F.expr(likeness("own", "changed", "d_edited")).alias("near_edited"), F.expr(likeness("own", "next", "d_next")).alias("near_next"),
     )
