@@ -131,19 +131,23 @@ def merge_intervals(sentence: Column) -> Column:
 def normalize_date(value: Column) -> Column:
     """The value a pair carries; null for what is not a usable date.
 
-    A full date is cut to its year, a month is kept only where it ends the value.
+    A value is an era, digits and a remainder; how many digits there are says what it dates. Of years
+    only a month that ends the value is kept. An interval holds two years, each with or without more.
     """
-
-    def found(pattern: str, label: str = "") -> Column:
-        hit = F.regexp_extract(value, pattern, 1)
-        return F.when(hit != "", F.concat(F.lit(label), hit) if label else hit)
-
-    year = r"(?:BC)?\d{4}"
-    return F.coalesce(
-        found(rf"^({year}(?:-\d{{2}}$)?)"),
-        found(r"^((?:BC)?\d{3})$", "DECADE "),
-        found(r"^((?:BC)?\d{2})$", "CENTURY "),
-        found(rf"^(\[{year}(?:-\d{{2}})*,{year}(?:-\d{{2}})*\])$"),
+    era = F.when(value.startswith("BC"), F.lit("BC")).otherwise("")
+    plain = F.substring(value, F.length(era) + 1, F.length(value))
+    digits = F.regexp_extract(plain, r"^\d*", 0)
+    rest = F.substring(plain, F.length(digits) + 1, F.length(plain))
+    count = F.length(digits)
+    month = F.when((count == 4) & rest.rlike(r"^-\d\d\z"), rest).otherwise("")
+    bounds = F.split(F.trim(value, F.lit("[]")), ",")
+    dated = F.forall(bounds, lambda b: b.rlike(r"^(?:BC)?\d{4}(?:-\d\d)*\z"))
+    interval = value.startswith("[") & value.endswith("]") & (F.size(bounds) == 2) & dated
+    return (
+        F.when(count >= 4, F.concat(era, F.left(digits, F.lit(4)), month))
+        .when((count == 3) & (rest == ""), F.concat(F.lit("DECADE "), era, digits))
+        .when((count == 2) & (rest == ""), F.concat(F.lit("CENTURY "), era, digits))
+        .when(interval, value)
     )
 
 
