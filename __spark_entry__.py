@@ -150,6 +150,15 @@ def filter_categories_join(spark, sf):
     return filters.filter_categories(base.unionByName(newer), rules).select("page_id", "rev_id")
 
 
+def category_pairs(spark, sf):
+    """The job as it is used: a rule file chooses the pages, and their pairs are extracted."""
+    path = scratch_path(spark, "rules")
+    lines = [("^" if mode == "exclude" else "") + name for name, mode in oracles.CATEGORY_RULES]
+    spark.createDataFrame([(x,) for x in ("# pages on trade", *lines)], "value STRING").write.text(path)
+    chosen = filters.filter_categories(article_pages(spark, sf), lists.read_category_rules(spark, path))
+    return flat_pairs(extract_pairs(chosen))
+
+
 def id_range(spark, sf):
     documents = table(spark, sf, "documents").withColumnRenamed("doc_id", "page_id")
     return filters.filter_id_range(documents, 100, 900).select("page_id", "lang", "n_chars")
@@ -290,11 +299,18 @@ def stream_pairs(spark, sf):
     return flat_pairs(streams.run_to_end(spark, lambda p, c: streams.stream_pairs(source, p, c), "stream-pairs"))
 
 
+def stream_dump_pairs(spark, sf):
+    source = filters.keep_articles(dump.stream_dump(spark, written_dump(spark, sf), max_files_per_trigger=4))
+    return flat_pairs(streams.run_to_end(spark, lambda p, c: streams.stream_pairs(source, p, c), "stream-dump"))
+
+
 def stream_dedupe(spark, sf):
     base = page_stream(spark, sf).select("page_id", "rev_id", "title")
     newer = base.filter("page_id % 7 = 0").withColumn("rev_id", F.col("rev_id") + 1)
     source = base.unionByName(newer).unionByName(base.filter("page_id % 2 = 0"))
-    return streams.run_to_end(spark, lambda p, c: streams.stream_dedupe(source, p, c), "stream-dedupe")
+    seen = source.withColumn("seen", F.current_timestamp())  # when it arrived; bounds the state
+    found = streams.run_to_end(spark, lambda p, c: streams.stream_dedupe(seen, p, c, "seen"), "stream-dedupe")
+    return found.drop("seen")
 
 
 def stream_incremental(spark, sf):
@@ -369,6 +385,7 @@ def queries() -> dict[str, Query]:
         "page_categories": lambda s, d: filters.page_categories(article_pages(s, d)),
         "filter_categories": filter_categories,
         "filter_categories_join": filter_categories_join,
+        "category_pairs": category_pairs,
         "id_range": id_range,
         "min_length": min_length,
         # cleaning
@@ -430,6 +447,7 @@ def queries() -> dict[str, Query]:
         "phrase_counts": phrase_counts,
         # streams
         "stream_pairs": stream_pairs,
+        "stream_dump_pairs": stream_dump_pairs,
         "stream_dedupe": stream_dedupe,
         "stream_incremental": stream_incremental,
         # scalar mapping

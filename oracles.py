@@ -301,6 +301,8 @@ def oracle_sql() -> dict[str, str]:
         exc AS (SELECT DISTINCT page_id FROM cat JOIN rules USING (category) WHERE mode = 'exclude')"""
     sql["filter_categories"] = f"""{with_(*BASE, categories, filtered)} SELECT page_id, title FROM pg
         WHERE page_id IN (FROM inc) AND page_id NOT IN (FROM exc)"""
+    sql["category_pairs"] = f"""{with_(*PAIRED, categories, filtered)} SELECT * FROM pairs
+        WHERE page_id IN (FROM inc) AND page_id NOT IN (FROM exc)"""
     sql["filter_categories_join"] = f"""{with_(*BASE)}, two AS (SELECT page_id, rev_id, wikitext FROM pg UNION ALL
         SELECT page_id, rev_id + 1, CASE WHEN page_id % 2 = 1 THEN replace(wikitext, '[[Category:', '[[Topic:') END FROM pg WHERE page_id % 7 = 0)
         SELECT page_id, rev_id FROM two WHERE NOT list_has_any(coalesce({cats}, []), ['NATION_15 in 1998', 'FURNITURE'])"""
@@ -482,7 +484,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT phrase, count(*) AS n FROM scan GROUP BY phrase"""
 
     # streams
-    sql["stream_pairs"] = sql["pair_dates"]
+    sql["stream_pairs"] = sql["stream_dump_pairs"] = sql["pair_dates"]
     sql["stream_dedupe"] = f"{with_(CORPUS, f'dup AS ({DUPLICATED})')} SELECT DISTINCT page_id, rev_id, title FROM dup"
     sql["stream_incremental"] = f"{with_(*PAIRED)} SELECT * FROM pairs WHERE page_id % 5 = 0 OR page_id % 3 = 0"
 
