@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from chronolink.llm.common import checkpointed, written
 
-TREES = 32
+TREES = 40
 SYMBOLS = 4
 K = 20
 #: Candidates over all trees at which a query stops going up.
@@ -73,7 +73,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[order], ids[order]
 
 
-def _search(batches: Iterator[pd.DataFrame], symbols: int, base: int, enough: int, k: int) -> Iterator[pd.DataFrame]:
+def _search(batches: Iterator[pd.DataFrame], width: str, symbols: int, base: int, enough: int, k: int) -> Iterator[pd.DataFrame]:
     """Per query and prefix length the run's size and its best rows, from the longest prefix up."""
     rows = [b for b in batches if len(b)]
     if not rows:
@@ -81,7 +81,7 @@ def _search(batches: Iterator[pd.DataFrame], symbols: int, base: int, enough: in
     rows = pd.concat(rows, ignore_index=True)
     for tree, part in rows.groupby("tree"):
         part = part.sort_values(["key", "id"], kind="stable")
-        vectors = np.frombuffer(b"".join(part.packed), "<f8").reshape(len(part), -1)
+        vectors = np.frombuffer(b"".join(part.packed), width).reshape(len(part), -1).astype(np.float64)
         key, ids, query = part.key.to_numpy(), part.id.to_numpy(), part["query"].to_numpy()
         data = ~query
         going = query.copy()
@@ -133,6 +133,8 @@ def nearest(
     if not stats.n:
         return spark.createDataFrame([], schema)
     most = float(np.sqrt(stats.most))
+    single = all(t.schema["embedding"].dataType.simpleString() == "array<float>" for t in (rows, queries))
+    width = "<f4" if single else "<f8"  # as the vectors are given; they are multiplied as doubles
     share = min(1.0, SAMPLE_ROWS / stats.n)
     sample = entries.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("vector").toPandas()
     sample = lifted(np.stack(sample.vector.to_numpy()), most) if len(sample) else np.zeros((0, 1))
@@ -150,7 +152,7 @@ def nearest(
             plain = np.stack(batch.vector.to_numpy()).astype(np.float64)
             query = batch["query"].to_numpy()
             high = np.where(query[:, None], np.column_stack([plain, np.zeros(len(plain))]), lifted(plain, most))
-            packed = [v.astype("<f8").tobytes() for v in plain]
+            packed = [v.astype(width).tobytes() for v in plain]
             for tree in range(trees):
                 key = strings(high, tree, symbols)
                 yield pd.DataFrame({
@@ -165,7 +167,7 @@ def nearest(
     base = 2 * (sample.shape[1])
     met = checkpointed(
         dealt.repartitionById(trees * pieces, F.col("part")).mapInPandas(
-            lambda it: _search(it, symbols, base, enough, k + 1),
+            lambda it: _search(it, width, symbols, base, enough, k + 1),
             "query LONG, tree INT, depth INT, met LONG, ids ARRAY<LONG>, scores ARRAY<DOUBLE>",
         )
     )
