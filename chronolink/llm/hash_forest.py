@@ -2,8 +2,8 @@
 
 Each tree gives a vector a long string of symbols; the symbol of a random rotation is the axis it lies
 closest to and the side. Sorted strings are the tree: rows with a common prefix are neighbours in the
-array. A query goes down to its longest prefix and then up, in all trees at once, until the runs it has
-met hold enough candidates.
+array. For a query the longest prefix is taken whose runs, in all trees together, hold enough candidates;
+all rows of these runs are scored, however long they are and however many shards they lie in.
 """
 
 from __future__ import annotations
@@ -20,12 +20,14 @@ from chronolink.llm.common import checkpointed, written
 TREES = 40
 SYMBOLS = 4
 K = 20
-#: Candidates over all trees at which a query stops going up.
+#: Candidates over all trees, counted with repeats, that the runs of a query hold at least.
 CANDIDATES = 12_000
-#: Rows of a sorted array that are looked at together; longer runs are taken in blocks.
+#: Rows and queries multiplied at a time. It steers memory, not the result.
 BLOCK = 4_096
+ASKED = 256
 SHARD_ROWS = 40_000
 SAMPLE_ROWS = 20_000
+SALT_BITS = 20
 
 
 def rotations(dims: int, tree: int, symbols: int = SYMBOLS) -> list[np.ndarray]:
@@ -73,37 +75,44 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[order], ids[order]
 
 
-def _search(batches: Iterator[pd.DataFrame], width: str, symbols: int, base: int, enough: int, k: int) -> Iterator[pd.DataFrame]:
-    """Per query and prefix length the run's size and its best rows, from the longest prefix up."""
-    rows = [b for b in batches if len(b)]
-    if not rows:
-        return
-    rows = pd.concat(rows, ignore_index=True)
-    for tree, part in rows.groupby("tree"):
-        part = part.sort_values(["key", "id"], kind="stable")
-        vectors = np.frombuffer(b"".join(part.packed), width).reshape(len(part), -1).astype(np.float64)
-        key, ids, query = part.key.to_numpy(), part.id.to_numpy(), part["query"].to_numpy()
-        data = ~query
-        going = query.copy()
-        for depth in range(symbols, -1, -1):
-            prefix = key // base ** (symbols - depth)
-            run = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]]))
-            out = []
-            for a, b in zip(run, np.append(run[1:], len(part))):
+def salted(key: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
+    """Keys followed by bits of the id's hash, so that rows of one key can be cut into shards."""
+    mixed = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (key << bits) | (mixed >> np.uint64(64 - bits)).astype(np.int64) if bits else key
+
+
+def _search(batches: Iterator[pd.DataFrame], width: str, k: int) -> Iterator[pd.DataFrame]:
+    """The best k rows of a shard for each query sent there, among those from its ``lo`` to below its ``hi``.
+
+    The shard's rows come first, by ``lo``; the queries follow."""
+    held: list[pd.DataFrame] = []
+    unpacked = lambda packed: np.frombuffer(b"".join(packed), width).reshape(len(packed), -1).astype(np.float64)
+    vectors = key = ids = None
+    for batch in batches:
+        asked = batch[batch["query"]]
+        if len(asked) < len(batch):
+            held.append(batch[~batch["query"]])
+        if not len(asked) or not held:
+            continue
+        if vectors is None:
+            rows = pd.concat(held, ignore_index=True)
+            vectors, key, ids = unpacked(rows.packed), rows.lo.to_numpy(), rows.id.to_numpy()
+        out = []
+        for (lo, hi), same in asked.groupby(["lo", "hi"]):
+            a, b = np.searchsorted(key, [lo, hi])
+            for at in range(0, len(same) if a < b else 0, ASKED):
+                part = same[at : at + ASKED]
+                high = unpacked(part.packed)
+                best = [(np.zeros(0), np.zeros(0, np.int64))] * len(part)
                 for c in range(a, b, BLOCK):
-                    d = min(b, c + BLOCK)
-                    asked = np.flatnonzero(going[c:d]) + c
-                    if not len(asked):
-                        continue
-                    known = np.flatnonzero(data[c:d]) + c
-                    scores = vectors[asked] @ vectors[known].T
-                    for i, q in enumerate(asked):
-                        s, found = _best(scores[i], ids[known], k)
-                        out.append((ids[q], tree, depth, len(known), found, s))
-                    if len(known) >= enough:
-                        going[asked] = False
-            if out:
-                yield pd.DataFrame(out, columns=["query", "tree", "depth", "met", "ids", "scores"])
+                    scores = high @ vectors[c : min(b, c + BLOCK)].T
+                    near = ids[c : min(b, c + BLOCK)]
+                    for i, (s, found) in enumerate(best):
+                        s2, found2 = _best(scores[i], near, k)
+                        best[i] = _best(np.append(s, s2), np.append(found, found2), k) if len(s) else (s2, found2)
+                out += [(q, found, s) for q, (s, found) in zip(part.id, best)]
+        if out:
+            yield pd.DataFrame(out, columns=["query", "ids", "scores"])
 
 
 def nearest(
@@ -113,7 +122,8 @@ def nearest(
     ``rows (vec_id, embedding)`` of largest inner product found, its own id left out, ties to smaller ids.
 
     Every vector is indexed; only the bounds that cut the sorted arrays into shards come from a sample
-    of ``SAMPLE_ROWS`` rows at most. Equal vectors are one entry that lists its k + 1 least ids, more of
+    of ``SAMPLE_ROWS`` rows at most. Where not even the first symbols hold
+    ``enough``, all rows are scored. Equal vectors are one entry that lists its k + 1 least ids, more of
     which no result can hold. Repeated rows count once; without rows there are no results.
     """
     spark = rows.sparkSession
@@ -128,56 +138,94 @@ def nearest(
     asked = valid(queries).distinct().join(entries.withColumnRenamed("id", "entry"), "vector", "left")
     # a vector that is no row is its own entry, below all ids of rows
     asked = written(asked.select("vec_id", "vector", F.coalesce("entry", -F.lit(2) - F.abs("vec_id")).alias("entry")), "asked")
-    stats = entries.agg(F.count("*").alias("n"), F.max(F.expr("aggregate(vector, 0D, (a, x) -> a + x * x)")).alias("most")).first()
+    stats = entries.agg(F.count("*").alias("n"), F.max(F.expr("aggregate(vector, 0D, (a, x) -> a + x * x)")).alias("most"), F.max(F.size("vector")).alias("dims")).first()
     schema = "query_id LONG, rank INT, vec_id LONG, score DOUBLE"
     if not stats.n:
         return spark.createDataFrame([], schema)
     most = float(np.sqrt(stats.most))
     single = all(t.schema["embedding"].dataType.simpleString() == "array<float>" for t in (rows, queries))
     width = "<f4" if single else "<f8"  # as the vectors are given; they are multiplied as doubles
-    share = min(1.0, SAMPLE_ROWS / stats.n)
-    sample = entries.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("vector").toPandas()
-    sample = lifted(np.stack(sample.vector.to_numpy()), most) if len(sample) else np.zeros((0, 1))
-    pieces = -(-stats.n // SHARD_ROWS)
-    cuts = [
-        np.quantile(strings(sample, t, symbols), [p / pieces for p in range(1, pieces)], method="lower").astype(np.int64)
-        if pieces > 1 and len(sample) else np.zeros(0, np.int64)
-        for t in range(trees)
-    ]
-
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            plain = np.stack(batch.vector.to_numpy()).astype(np.float64)
-            query = batch["query"].to_numpy()
-            high = np.where(query[:, None], np.column_stack([plain, np.zeros(len(plain))]), lifted(plain, most))
-            packed = [v.astype(width).tobytes() for v in plain]
+    base = 2 * (stats.dims + 1)
+    bits = max(0, min(SALT_BITS, 62 - (base**symbols).bit_length()))
+
+    def keys(batch: pd.DataFrame, query: bool, tree: int, depth: int) -> np.ndarray:
+        plain = np.stack(batch.vector.to_numpy()).astype(np.float64)
+        high = np.column_stack([plain, np.zeros(len(plain))]) if query else lifted(plain, most)
+        return strings(high, tree, depth)
+
+    def runs(batches: Iterator[pd.DataFrame], depth: int) -> Iterator[pd.DataFrame]:
+        for batch in filter(len, batches):
             for tree in range(trees):
-                key = strings(high, tree, symbols)
+                prefix, n = np.unique(keys(batch, False, tree, depth), return_counts=True)
+                yield pd.DataFrame({"tree": tree, "prefix": prefix, "n": n})
+
+    def prefixes(batches: Iterator[pd.DataFrame], depth: int) -> Iterator[pd.DataFrame]:
+        for batch in filter(len, batches):
+            for tree in range(trees):
+                yield pd.DataFrame({"id": batch.id, "tree": tree, "prefix": keys(batch, True, tree, depth)})
+
+    # a longer prefix holds no more rows, so a query goes down while its runs hold enough together
+    sought = asked.select(F.col("entry").alias("id"), "vector").distinct()
+    levels = sought.select("id", F.lit(0).alias("level"))
+    going, deepest = sought, 0
+    for depth in range(1, symbols + 1):
+        sizes = entries.mapInPandas(lambda it, d=depth: runs(it, d), "tree INT, prefix LONG, n LONG")
+        sizes = sizes.groupBy("tree", "prefix").agg(F.sum("n").alias("n"))
+        mine = going.mapInPandas(lambda it, d=depth: prefixes(it, d), "id LONG, tree INT, prefix LONG")
+        met = mine.join(sizes, ["tree", "prefix"]).groupBy("id").agg(F.sum("n").alias("met"))
+        passed = checkpointed(met.filter(F.col("met") >= enough).select("id", F.lit(depth).alias("level")))
+        if passed.isEmpty():
+            break
+        levels, deepest = levels.unionByName(passed), depth
+        going = sought.join(passed.select("id"), "id")
+    levels = levels.groupBy("id").agg(F.max("level").alias("level"))
+    grown = trees if deepest else 1  # without a symbol the run of each tree is the table
+    pieces = -(-stats.n // SHARD_ROWS)
+    cuts = [np.zeros(0, np.int64)] * grown
+    if pieces > 1:
+        share = min(1.0, SAMPLE_ROWS / stats.n)
+        chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+        sample = entries.filter(chosen).select("id", "vector").toPandas()
+        for tree in range(grown if len(sample) else 0):
+            order = np.sort(salted(keys(sample, False, tree, symbols), sample.id.to_numpy(), bits))
+            cuts[tree] = order[[p * len(order) // pieces for p in range(1, pieces)]]
+
+    def packed(batch: pd.DataFrame) -> list[bytes]:
+        return [np.asarray(v, np.float64).astype(width).tobytes() for v in batch.vector]
+
+    def deal_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in filter(len, batches):
+            data = packed(batch)
+            for tree in range(grown):
+                key = salted(keys(batch, False, tree, symbols), batch.id.to_numpy(), bits)
+                part = tree * pieces + np.searchsorted(cuts[tree], key, "right")
+                yield pd.DataFrame({"part": part.astype(np.int32), "query": False, "lo": key, "hi": key, "id": batch.id, "packed": data})
+
+    def deal_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A query goes to each shard that its run reaches into."""
+        for batch in filter(len, batches):
+            data, level = packed(batch), batch.level.to_numpy()
+            for tree in range(grown):
+                span = np.array([base ** (symbols - d) for d in range(symbols + 1)], np.int64)[level]
+                first = keys(batch, True, tree, symbols) // span * span
+                lo, hi = np.where(level > 0, first << bits, 0), np.where(level > 0, (first + span) << bits, base**symbols << bits)
+                a, b = np.searchsorted(cuts[tree], lo, "right"), np.searchsorted(cuts[tree], hi - 1, "right")
+                n = np.where((level > 0) | (tree == 0), b - a + 1, 0)
+                row = np.repeat(np.arange(len(batch)), n)
+                part = tree * pieces + a[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 yield pd.DataFrame({
-                    "part": (tree * pieces + np.searchsorted(cuts[tree], key, "right")).astype(np.int32),
-                    "tree": tree, "key": key, "id": batch.id.to_numpy(), "query": query, "packed": packed,
+                    "part": part.astype(np.int32), "query": True, "lo": lo[row], "hi": hi[row], "id": batch.id.to_numpy()[row],
+                    "packed": [data[i] for i in row],
                 })
 
-    both = entries.withColumn("query", F.lit(False)).unionByName(
-        asked.select(F.col("entry").alias("id"), "vector", F.lit(True).alias("query")).distinct()
-    )
-    dealt = both.mapInPandas(spread, "part INT, tree INT, key LONG, id LONG, query BOOLEAN, packed BINARY")
-    base = 2 * (sample.shape[1])
-    met = checkpointed(
-        dealt.repartitionById(trees * pieces, F.col("part")).mapInPandas(
-            lambda it: _search(it, width, symbols, base, enough, k + 1),
-            "query LONG, tree INT, depth INT, met LONG, ids ARRAY<LONG>, scores ARRAY<DOUBLE>",
-        )
+    form = "part INT, query BOOLEAN, lo LONG, hi LONG, id LONG, packed BINARY"
+    dealt = entries.mapInPandas(deal_rows, form).unionByName(sought.join(levels, "id").mapInPandas(deal_queries, form))
+    met = dealt.repartitionById(grown * pieces, F.col("part")).sortWithinPartitions("part", "query", "lo", "id").mapInPandas(
+        lambda it: _search(it, width, k + 1), "query LONG, ids ARRAY<LONG>, scores ARRAY<DOUBLE>"
     )
-    # all trees stop at the longest prefix whose runs hold enough together, or at none
-    level = met.groupBy("query", "depth").agg(F.sum("met").alias("met")).groupBy("query").agg(
-        F.coalesce(F.max(F.when(F.col("met") >= enough, F.col("depth"))), F.lit(0)).alias("level")
+    pairs = met.select("query", F.explode(F.arrays_zip("ids", "scores")).alias("one")).select(
+        "query", F.col("one.ids").alias("id"), F.col("one.scores").alias("score")
     )
-    pairs = met.join(level, "query").filter("depth >= level").select(
-        "query", F.explode(F.arrays_zip("ids", "scores")).alias("one")
-    ).select("query", F.col("one.ids").alias("id"), F.col("one.scores").alias("score"))
     itself = asked.select(
         F.col("entry").alias("query"), F.col("entry").alias("id"), F.expr("aggregate(vector, 0D, (a, x) -> a + x * x)").alias("score")
     ).distinct()

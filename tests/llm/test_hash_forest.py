@@ -43,3 +43,25 @@ def test_odd_vectors_and_ties(spark):
     assert got[40] == [(60, 2.0), (0, 0.0), (1, 0.0)] and got[60] == [(40, 2.0), (0, -1.0), (1, -1.0)]
     assert len(found) == 12
     assert hash_forest.nearest(df.limit(0), df.limit(0)).collect() == []
+
+
+def recall(found, x, queries, k):
+    hits = 0
+    for q in queries:
+        score = x @ x[q]
+        score[q] = -np.inf
+        best = np.lexsort((np.arange(len(x)), -score))[:k]
+        hits += len(set(best) & set(found.vec_id[found.query_id == q]))
+    return hits / (k * len(queries))
+
+
+def test_run_longer_than_a_block_and_a_shard(spark, monkeypatch):
+    """A tight cluster has one string in all trees; its queries are scored against all of it, over all shards."""
+    monkeypatch.setattr(hash_forest, "SHARD_ROWS", 2_000)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(12_000, 8))
+    x[::2] = 3 * np.ones(8) + np.arange(8) + 1e-3 * rng.normal(size=(6_000, 8))
+    x = x.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id LONG, embedding ARRAY<FLOAT>")
+    found = hash_forest.nearest(df, df.filter("vec_id % 600 = 0"), k=10, trees=4, enough=500).toPandas()
+    assert recall(found, x, range(0, 12_000, 600), 10) == 1.0
