@@ -8,6 +8,7 @@ all rows of these runs are scored, however long they are and however many shards
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,10 @@ from chronolink.llm.common import checkpointed, written
 TREES = 40
 SYMBOLS = 4
 K = 20
-#: Candidates over all trees, counted with repeats, that the runs of a query hold at least.
+#: Candidates over all trees, counted with repeats, that the runs of a query hold at least; a table that
+#: grows asks for as large a share of its rows, so that recall does not fall with its size.
 CANDIDATES = 12_000
+SHARE = 0.25
 #: Rows and queries multiplied at a time. It steers memory, not the result.
 BLOCK = 4_096
 ASKED = 256
@@ -30,6 +33,11 @@ SAMPLE_ROWS = 20_000
 SALT_BITS = 20
 
 
+def candidates(n: int) -> int:
+    """How many candidates a query asks for in a table of ``n`` rows."""
+    return max(CANDIDATES, math.ceil(SHARE * n))
+
+
 def rotations(dims: int, tree: int, symbols: int = SYMBOLS) -> list[np.ndarray]:
     rng = np.random.default_rng([17, tree])
     return [np.linalg.qr(rng.normal(size=(dims, dims)))[0] for _ in range(symbols)]
@@ -116,14 +124,14 @@ def _search(batches: Iterator[pd.DataFrame], width: str, k: int) -> Iterator[pd.
 
 
 def nearest(
-    rows: DataFrame, queries: DataFrame, k: int = K, trees: int = TREES, symbols: int = SYMBOLS, enough: int = CANDIDATES,
+    rows: DataFrame, queries: DataFrame, k: int = K, trees: int = TREES, symbols: int = SYMBOLS, enough: int | None = None,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row of ``queries (vec_id, embedding)`` the k rows of
     ``rows (vec_id, embedding)`` of largest inner product found, its own id left out, ties to smaller ids.
 
     Every vector is indexed; only the bounds that cut the sorted arrays into shards come from a sample
-    of ``SAMPLE_ROWS`` rows at most. Where not even the first symbols hold
-    ``enough``, all rows are scored. Equal vectors are one entry that lists its k + 1 least ids, more of
+    of ``SAMPLE_ROWS`` rows at most. ``enough`` is ``candidates`` of the table unless given; where not even
+    the first symbols hold as many, all rows are scored. Equal vectors are one entry that lists its k + 1 least ids, more of
     which no result can hold. Repeated rows count once; without rows there are no results.
     """
     spark = rows.sparkSession
@@ -145,6 +153,7 @@ def nearest(
     most = float(np.sqrt(stats.most))
     single = all(t.schema["embedding"].dataType.simpleString() == "array<float>" for t in (rows, queries))
     width = "<f4" if single else "<f8"  # as the vectors are given; they are multiplied as doubles
+    enough = candidates(stats.n) if enough is None else enough
     base = 2 * (stats.dims + 1)
     bits = max(0, min(SALT_BITS, 62 - (base**symbols).bit_length()))
 

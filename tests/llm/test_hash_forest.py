@@ -65,3 +65,9 @@ def test_run_longer_than_a_block_and_a_shard(spark, monkeypatch):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id LONG, embedding ARRAY<FLOAT>")
     found = hash_forest.nearest(df, df.filter("vec_id % 600 = 0"), k=10, trees=4, enough=500).toPandas()
     assert recall(found, x, range(0, 12_000, 600), 10) == 1.0
+
+
+def test_candidates_follow_the_table():
+    assert hash_forest.candidates(500) == 12_000
+    for n in (60_000, 200_000, 3_000_000):
+        assert hash_forest.candidates(n) >= n / 4
