@@ -28,11 +28,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies keep the document with the least id; repeated rows stay once."""
+    """Of each group of near copies keep the row with the least id and text hash, null ids last; rows equal
+    in id and text stay once."""
     small_batches(spark)
-    found = simhash.near_duplicates(docs)
-    kept = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_llm_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left_semi").dropDuplicates(["doc_id"])
+    text = F.xxhash64("text")
+    rows = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), text.alias("hash"))
+    found = simhash.near_duplicates(docs.select(rows.alias("doc_id"), "text"))
+    kept = found.filter("doc_id <=> component_id").select(
+        F.col("doc_id.id").alias("_llm_id"), F.col("doc_id.hash").alias("_llm_kept_hash")
+    ).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_llm_id")) & (F.col("_llm_hash") == F.col("_llm_kept_hash"))
+    hashed = docs.withColumn("_llm_hash", text)
+    return hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_llm_hash"]).drop("_llm_hash")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

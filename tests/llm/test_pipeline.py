@@ -42,3 +42,12 @@ def test_run_and_odd_documents(spark, messy, documents):
             assert name == "packing" or out.columns == docs.columns
             rows = out.count()
             assert rows <= docs.count() or name == "packing"
+
+
+def test_rows_without_ids_and_ids_with_two_texts(spark, documents):
+    """Rows that are no near copies stay, whatever their ids are; of near copies one row stays."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(k)) for k in range(10)] + [(None, text(3)), (7, text(20)), (7, text(21)), (8, text(21)), (9, text(0))]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, documents(rows), SF).collect()]
+    want = [(None, text(k)) for k in range(1, 10)] + [(7, text(20)), (7, text(21)), (9, text(0))]
+    assert len(got) == len(want) and set(got) == set(want)
