@@ -21,7 +21,8 @@ class Kind:
     """What a kind of personal data looks like.
 
     ``pattern`` proposes spans ``m``; those failing ``valid`` (SQL over ``m``) are dropped. A span scores
-    ``score``, and ``boost`` more with one of the words ``near`` (a pattern) close by. ``gate`` is a cheap
+    ``score``, and ``boost`` more with one of the words ``near`` (a pattern) close by, before or after, or with
+    a span of its kind close by that has one. ``gate`` is a cheap
     test that each text with a match passes.
     """
 
@@ -66,20 +67,34 @@ ADDED = (
 
 def _spans_of(kind: Kind) -> str:
     """SQL: spans of a kind in ``text``. Each match comes with the gap before it; lengths of gaps and
-    matches add up to code-point positions."""
+    matches add up to code-point positions, and ``i`` is the match's place among them."""
     gap = f"(?s)(.*?)({kind.pattern}|\\z)"
     pairs = f"""zip_with(regexp_extract_all(text, r'{gap}', 1), regexp_extract_all(text, r'{gap}', 2),
         (g, m) -> named_struct('g', g, 'm', m))"""
-    near = (
-        f"CASE WHEN rlike(right(x.g, {NEAR}), '(?i){kind.near}') THEN {kind.score + kind.boost}D ELSE {kind.score}D END"
-        if kind.near else f"{kind.score}D"
-    )
-    folded = f"""aggregate({pairs}, named_struct('at', 0L, 'out', cast(array() AS array<struct<start: bigint, end: bigint, m: string, score: double>>)),
-        (acc, x) -> named_struct('at', acc.at + length(x.g) + length(x.m), 'out', CASE WHEN x.m = '' THEN acc.out ELSE
-            concat(acc.out, array(named_struct('start', acc.at + length(x.g), 'end', acc.at + length(x.g) + length(x.m), 'm', x.m, 'score', {near}))) END)).out"""
-    valid = kind.valid.replace("(m,", "(x.m,")
-    return f"""CASE WHEN {kind.gate} THEN transform(filter({folded}, x -> {valid}),
-        x -> named_struct('kind', '{kind.name}', 'start', x.start, 'end', x.end, 'score', x.score)) ELSE
+    folded = """aggregate(p, named_struct('at', 0L, 'i', 1, 'out', cast(array() AS array<struct<start: bigint, end: bigint, m: string, i: int>>)),
+        (acc, x) -> named_struct('at', acc.at + length(x.g) + length(x.m), 'i', acc.i + 1, 'out', CASE WHEN x.m = '' THEN acc.out ELSE
+            concat(acc.out, array(named_struct('start', acc.at + length(x.g), 'end', acc.at + length(x.g) + length(x.m), 'm', x.m, 'i', acc.i))) END)).out"""
+    valid = f"filter({folded}, x -> {kind.valid.replace('(m,', '(x.m,')})"
+    form = "array<struct<start: bigint, end: bigint, near: boolean>>"
+    # a gap and match have two characters at least, so half as many of them fill the window
+    before = f"""right(concat(array_join(transform(slice(p, greatest(1, x.i - {NEAR // 2}), least(x.i - 1, {NEAR // 2})),
+        q -> right(concat(q.g, q.m), {NEAR})), ''), element_at(p, x.i).g), {NEAR})"""
+    after = f"left(array_join(transform(slice(p, x.i + 1, {NEAR // 2}), q -> left(concat(q.g, q.m), {NEAR})), ''), {NEAR})"
+    near = f"rlike({before}, '(?i){kind.near}') OR rlike({after}, '(?i){kind.near}')" if kind.near else "false"
+    spans = f"transform({valid}, x -> named_struct('start', x.start, 'end', x.end, 'near', {near}))"
+
+    def chained(rows: str, apart: str) -> str:
+        """Spans whose neighbour before in ``rows`` is near a word are near it as well, if close by."""
+        hit = f"(x.near OR (acc.near AND {apart} <= {NEAR}))"
+        return f"""aggregate({rows}, named_struct('start', 0L, 'end', 0L, 'near', false, 'out', cast(array() AS {form})),
+            (acc, x) -> named_struct('start', x.start, 'end', x.end, 'near', {hit}, 'out',
+                concat(acc.out, array(named_struct('start', x.start, 'end', x.end, 'near', {hit}))))).out"""
+
+    ahead = chained(spans, "x.start - acc.end")
+    both = f"reverse({chained(f'reverse({ahead})', 'acc.start - x.end')})"
+    score = f"CASE WHEN x.near THEN {kind.score + kind.boost}D ELSE {kind.score}D END"
+    return f"""CASE WHEN {kind.gate} THEN flatten(transform(array({pairs}), p -> transform({both if kind.near else spans},
+        x -> named_struct('kind', '{kind.name}', 'start', x.start, 'end', x.end, 'score', {score})))) ELSE
         cast(array() AS array<struct<kind: string, start: bigint, end: bigint, score: double>>) END"""
 
 

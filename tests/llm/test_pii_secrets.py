@@ -75,6 +75,20 @@ def test_checksums_and_context(documents):
     assert red[1] == "iban [IBAN]" and red[3] == "ssn [SSN]" and red[4] == rows[3][1]
 
 
+def test_context_across_matches_and_after(documents):
+    """Context counts across other matches, behind the span, and along a list of spans."""
+    numbers = [f"{200 + i}-45-{6000 + i}" for i in range(30)]
+    rows = [(1, "SSN: " + ", ".join(numbers)), (2, "123-45-6789 (social security)"), (3, "ssn 000-45-6789 123-45-6789"),
+            (4, "ssn " + "x " * 40 + "123-45-6789"), (5, "123-45-6789" + " y" * 40 + " 234-56-7890 ssn"), (6, ", ".join(numbers) + " are ssn"),
+            (7, ", ".join(numbers))]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "ssn"] for r in pii.detect(documents(rows)).collect()}
+    text = dict(rows)
+    assert [text[1][a:b] for a, b in got[1]] == numbers == [text[6][a:b] for a, b in got[6]]
+    assert got[2] == [(0, 11)] and got[3] == [(16, 27)] and got[4] == got[7] == [] and len(got[5]) == 1
+    red = {r.doc_id: r.text for r in pii.redact(documents(rows)).collect()}
+    assert red[1] == "SSN: " + ", ".join(["[SSN]"] * 30)
+
+
 def test_long_runs_are_linear(documents):
     rows = [(1, "a" * 300_000 + "@b.c"), (2, "1" * 300_000), (3, "1 " * 200_000 + "+1" * 50_000), (4, "." * 300_000), (5, "@" * 300_000)]
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.detect(documents(rows)).collect()}
