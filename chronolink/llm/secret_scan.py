@@ -14,6 +14,9 @@ from chronolink.llm.common import whole_text
 
 #: Log10 of the guesses from which a value counts as chosen to be secret.
 SECRET_COST = 10.5
+#: Corpus words that prose is told by, at most, and how often one stands there at least.
+FREQUENT_WORDS = 20_000
+LEAST_COUNT = 3
 
 # Words that guessing starts with, most likely first.
 WORDS = (
@@ -35,6 +38,12 @@ _CONTEXT = re.compile(
     r"""(?<![A-Za-z0-9])(?ai:pwd|pass(?:phrase|code|wd|word)?|secret|token|bearer|credentials?|auth|api_?key|access_?key|private_?key)"""
     r"""["']?[\x20\t]{0,4}(?:[:=]|\bis\b)?[\x20\t]{0,4}["']?(?P<value>[!-~]{6,})|://[^\s:@/]{1,64}:(?P<login>[^\s@/]{6,})@"""
 )
+# For Spark: a word of prose in its first group; values in a credential context match without it.
+_PLAIN_WORD = (
+    r"""(?<![A-Za-z0-9])(?i:pwd|pass(?:phrase|code|wd|word)?|secret|token|bearer|credentials?|auth|api_?key|access_?key|private_?key)"""
+    r"""["']?[\x20\t]{0,4}(?:[:=]|\bis\b)?[\x20\t]{0,4}["']?[!-~]{6,}|://[^\s:@/]{1,64}:[^\s@/]{6,}@"""
+    r"""|(?<![A-Za-z0-9])([A-Z]?[a-z]{3,}|[A-Z]{4,})(?![A-Za-z0-9])"""
+)
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
 _LEET = str.maketrans("@4301!$5+7", "aaeoiisstt")
 _CLASSES = ((lambda c: c in "_-.", 3), (str.islower, 26), (str.isupper, 26), (str.isdigit, 10))
@@ -99,13 +108,26 @@ def char_cost(c: str) -> float:
     return math.log10(next((size for test, size in _CLASSES if test(c)), 33))
 
 
-def added_spans(text: str, cost: GuessCost, secret_cost: float = SECRET_COST) -> list[tuple[int, int, str]]:
-    """Values in a credential context that are costly to guess."""
+def frequent_words(docs: DataFrame, most: int = FREQUENT_WORDS, least: int = LEAST_COUNT) -> list[str]:
+    """The most frequent words of the texts, in lower case; what stands in a credential context is not counted."""
+    found = F.explode(F.regexp_extract_all(whole_text(), F.lit(_PLAIN_WORD), F.lit(1)))
+    counts = docs.select(found.alias("word")).filter("word <> ''").groupBy(F.lower("word").alias("word")).count()
+    top = counts.filter(F.col("count") >= least).orderBy(F.desc("count"), "word").limit(most)
+    return [r.word for r in top.select("word").collect()]
+
+
+def added_spans(
+    text: str, cost: GuessCost, secret_cost: float = SECRET_COST, letters_cost: GuessCost | None = None
+) -> list[tuple[int, int, str]]:
+    """Values in a credential context that are costly to guess. ``letters_cost`` decides as well about
+    those of letters alone, which can be words of prose."""
     found = []
     for match in _CONTEXT.finditer(text):
         group = "value" if match["value"] is not None else "login"
         value = match[group].rstrip(".,;:!?)'\"")
-        if len(value) >= 6 and not value.isalpha() and cost(value) >= secret_cost:
+        if len(value) < 6 or cost(value) < secret_cost:
+            continue
+        if letters_cost is None or not value.isalpha() or letters_cost(value) >= secret_cost:
             found.append((match.start(group), match.start(group) + len(value), "guess"))
     return found
 
@@ -115,16 +137,18 @@ def scan(docs: DataFrame, words: tuple[str, ...] = tuple(WORDS), secret_cost: fl
 
     Kinds are assign, access and hex, and guess for what the guess cost adds; base spans always stay.
     Null and empty texts have no spans; repeated rows are scanned repeatedly; other columns are not read.
-    ``words`` replaces the guessers' word list, most likely first.
+    ``words`` replaces the guessers' word list, most likely first. Values of letters alone are also pieced
+    together from the corpus's own frequent words, so that prose after a credential word is no secret.
     """
+    frequent = frequent_words(docs)
     order = {k: i for i, k in enumerate(("assign", "access", "hex", "guess"))}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cost = GuessCost(list(words))
+        cost, letters_cost = GuessCost(list(words)), GuessCost([*words, *frequent])
         for batch in batches:
             spans = []
             for text in batch.text:
-                found = base_spans(text) + added_spans(text, cost, secret_cost)
+                found = base_spans(text) + added_spans(text, cost, secret_cost, letters_cost)
                 found.sort(key=lambda s: (s[0], order[s[2]], s[1]))
                 spans.append([{"start": a, "end": b, "kind": k} for a, b, k in found])
             yield pd.DataFrame({"doc_id": batch.doc_id, "spans": spans})

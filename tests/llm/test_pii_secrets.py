@@ -130,6 +130,16 @@ def test_context_values(documents):
     assert got == {1: [("guess", 5, 15)], 2: [], 3: [("guess", 13, 23)], 4: []}
 
 
+def test_values_of_letters_alone(documents):
+    """Cost decides about them too; words that the corpus uses elsewhere are cheap."""
+    rows = [(1, "pwd: QxRvTzLkWmPnHs"), (2, "passphrase KJHxqwzPLmnTrv"), (3, "bearer AbQdZfGhXjKlMn"), (4, "://user:HfkQmrtZbpvn@host"),
+            (5, "the token incorrectly"), (6, "password changeme"), (7, "incorrectly set, incorrectly read, and incorrectly stored")]
+    rows += [(10 + i, "pwd: QxRvTzLkWmPnHs") for i in range(5)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.scan(documents(rows)).collect()}
+    assert got[1] == got[10] == [("guess", 5, 19)] and got[2] == [("guess", 11, 25)] and got[3] == [("guess", 7, 21)]
+    assert got[4] == [("guess", 8, 20)] and got[5] == got[6] == got[7] == []
+
+
 def test_messy(messy, documents):
     for operator in (pii.detect, pii.redact, secret_scan.scan):
         assert operator(messy).count() == messy.count()
