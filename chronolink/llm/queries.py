@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import bpe, compact_windows, hash_forest, packing, paragraph_sketch, pii, secret_scan, simhash, suffix_dedup, toxicity
+from chronolink.llm import bpe, compact_windows, hash_forest, packing, paragraph_sketch, pii, secret_scan, sentence_pieces, simhash, suffix_dedup, toxicity
 from chronolink.llm.common import small_batches, table
 from chronolink.llm.packing import byte_level_encoder
 
@@ -82,6 +82,13 @@ def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_forest.nearest(rows, rows.filter("vec_id % 20 = 0"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = sentence_pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentence_pieces.encode_decode(table(spark, sf_dir, "documents"), model)
+
+
 def _bounded(query: Query) -> Query:
     """``query`` with small batches for its Python workers, so that long texts do not add up."""
 
@@ -97,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op4_toxicity": op4_toxicity, "op5_pii": op5_pii,
         "op6_suffix_dedup": op6_suffix_dedup, "op7_compact_windows": op7_compact_windows, "op8_paragraph_sketch": op8_paragraph_sketch,
         "op9_bpe": op9_bpe, "op10_hash_forest": op10_hash_forest,
+        "op11_sentencepiece": op11_sentencepiece,
     }
     return {name: _bounded(query) for name, query in found.items()}
 
