@@ -490,7 +490,7 @@ def encode_decode(docs: DataFrame, model: Model, with_spans: bool = False) -> Da
     64-bit integers. Null texts count as empty; repeated rows are coded repeatedly; other columns are not
     read. A text is held whole by its task, as is a word; the model does not grow with the data and is broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens LONG, ids_sha256 STRING, decoded_sha256 STRING, spans_crc32 LONG"
     schema += ", ids ARRAY<INT>, begins ARRAY<LONG>, ends ARRAY<LONG>, decoded STRING" if with_spans else ""
@@ -507,7 +507,9 @@ def encode_decode(docs: DataFrame, model: Model, with_spans: bool = False) -> Da
     names = [c.split()[0] for c in schema.split(", ")][1:]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = Coder(shared.value)
+        known = Model.__new__(Model)
+        vars(known).update(shared.value)
+        coder = Coder(known)
         for batch in batches:
             rows = [row(coder, coded) for coded in coder.encode(list(batch.text))]
             out = pd.DataFrame(rows, columns=names)
