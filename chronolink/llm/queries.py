@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolink.llm import bpe, compact_windows, dual_tree, hash_forest, oracles, packing, paragraph_sketch, pii, secret_scan, sentence_pieces, simhash, suffix_dedup, toxicity
+from chronolink.llm import bpe, compact_windows, conversation_repair, dual_tree, hash_forest, oracles, packing, paragraph_sketch, pii, secret_scan, sentence_pieces, simhash, suffix_dedup, toxicity
 from chronolink.llm.common import small_batches, table
 from chronolink.llm.packing import byte_level_encoder
 
@@ -93,6 +93,10 @@ def op12_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(table(spark, sf_dir, "conversations"))
+
+
 def _bounded(query: Query) -> Query:
     """``query`` with small batches for its Python workers, so that long texts do not add up."""
 
@@ -109,9 +113,10 @@ def queries() -> dict[str, Query]:
         "op6_suffix_dedup": op6_suffix_dedup, "op7_compact_windows": op7_compact_windows, "op8_paragraph_sketch": op8_paragraph_sketch,
         "op9_bpe": op9_bpe, "op10_hash_forest": op10_hash_forest,
         "op11_sentencepiece": op11_sentencepiece, "op12_dual_tree": op12_dual_tree,
+        "op13_conversation_repair": op13_conversation_repair,
     }
     return {name: _bounded(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_dual_tree": oracles.DUAL_TREE_SQL}
+    return {"op12_dual_tree": oracles.DUAL_TREE_SQL, "op13_conversation_repair": oracles.REPAIR_SQL}
