@@ -456,7 +456,8 @@ _KEPT = """concat(aggregate(_llm_runs, struct(X'' AS kept, 0L AS at), (acc, f) -
 
 def dedup(docs: DataFrame, length: int = LENGTH, split_records: int = SPLIT_RECORDS, with_text: bool = False) -> DataFrame:
     """Each row of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``; ``with_text``
-    adds ``kept``, the remaining text (characters cut in half are left out there).
+    adds ``kept``, the remaining text (characters cut in half are left out there). Columns of ``docs`` by these
+    names are replaced.
 
     A byte goes if a string of ``length`` bytes that covers it also starts elsewhere, in the same text
     or another, as the texts were given; all copies go, the first included. Null texts count as
@@ -469,12 +470,14 @@ def dedup(docs: DataFrame, length: int = LENGTH, split_records: int = SPLIT_RECO
     touched = inner.filter("maybe").join(found, ["doc_id", "k"], "left")
     touched = touched.withColumn("found", F.expr("coalesce(found, array())"))
     clean = inner.filter("NOT maybe").withColumn("found", F.expr("cast(array() AS array<struct<begin: bigint, end: bigint>>)"))
+    added = {"n_bytes", "n_removed", "n_spans", "kept_sha256"} | ({"kept"} if with_text else set())
+    given = [F.col("_llm_row")[c].alias(c) for c in docs.columns if c.lower() not in added]
     out = []
     for part in (clean, touched):
         data = part.withColumn("_llm_data", F.col("text").cast("binary")).withColumn("_llm_runs", F.expr(_RUNS))
         kept = data.withColumn("_llm_kept", F.expr(_KEPT))
         out.append(kept.select(
-            "_llm_row.*", F.octet_length("_llm_data").cast("long").alias("n_bytes"),
+            *given, F.octet_length("_llm_data").cast("long").alias("n_bytes"),
             F.expr("aggregate(_llm_runs, 0L, (acc, f) -> acc + f.end - f.begin)").alias("n_removed"),
             F.size("_llm_runs").cast("long").alias("n_spans"), F.sha2("_llm_kept", 256).alias("kept_sha256"),
             *([_as_text("_llm_kept").alias("kept")] if with_text else []),

@@ -82,5 +82,20 @@ def test_messy(messy, documents):
     assert len(rows) == messy.count() and found.columns[: len(messy.columns) - 1] == messy.drop("kept").columns
     assert all(r.kept == "" for r in rows if r.doc_id in (5, 6)) and {r.kept for r in rows if r.doc_id == 7} == {"one", "two"}
     assert suffix_dedup.dedup(documents([])).collect() == []
+
+
+def test_own_names_win(documents):
+    """Columns named like the operator's are replaced, in any case of letters; the others stay."""
+    given = documents([(1, "x" * 500), (2, "short")])
+    for name in ("N_BYTES", "n_removed", "n_spans", "kept_sha256"):
+        given = given.withColumn(name, given.lang)
+    got = suffix_dedup.dedup(given, with_text=True)
+    assert sorted(got.columns) == sorted({*given.columns, "n_bytes"} - {"N_BYTES"})
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept) for r in got.collect()} == {(1, 500, 500, 1, ""), (2, 5, 0, 0, "short")}
+    plain = suffix_dedup.dedup(given)
+    assert plain.columns.count("kept") == 1 and {r.kept for r in plain.collect()} == {None}
+
+
+def test_halves_of_characters(documents):
     halves = documents([(1, "é" * 300 + "x"), (2, "a" + "é" * 300)])  # a cut may fall inside a character
     assert all("�" not in r.kept for r in suffix_dedup.dedup(halves, with_text=True).collect())
