@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,33 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def trimmed(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``run``, a function over a task's batches, that hands free memory back to the system when it ends.
+
+    Workers are used again and wait in between; what their allocators keep would add up with the next stage's.
+    """
+
+    def wrapped(batches: Iterator, *args) -> Iterator:
+        try:
+            yield from run(batches, *args)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries have none
+    if trim:
+        trim(0)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once, its rows in the shared folder, its lineage cut."""
     shared_dir(df.sparkSession)

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolink.llm.common import whole_text, written
+from chronolink.llm.common import trimmed, whole_text, written
 
 LENGTH = 2048
 END = 1
@@ -118,7 +118,7 @@ def tokens(docs: DataFrame, encoder: Callable[[], Callable[[str], np.ndarray]],
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", whole_text().alias("text")).mapInPandas(
-        run, f"doc_id {kind}, key LONG, n LONG, wide BOOLEAN, ids BINARY"
+        trimmed(run), f"doc_id {kind}, key LONG, n LONG, wide BOOLEAN, ids BINARY"
     )
 
 
@@ -176,4 +176,4 @@ def pack(
             yield pd.DataFrame(rows, columns=names + ["ids"] * with_ids)
 
     ordered = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place", "doc_id")
-    return ordered.select("doc_id", "n", "wide", "ids", "shard").mapInPandas(cut, schema)
+    return ordered.select("doc_id", "n", "wide", "ids", "shard").mapInPandas(trimmed(cut), schema)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronolink.llm.common import checkpointed, components, whole_text
+from chronolink.llm.common import checkpointed, components, trimmed, whole_text
 
 BUDGET = 3
 SEED = 42
@@ -201,7 +201,7 @@ def links(nodes: DataFrame, budget: int = BUDGET, split_rows: int = SPLIT_ROWS)
     rows = keyed(nodes, budget, split_rows)
     # sorted as unsigned numbers: the sign bit is the trie's first
     dealt = rows.repartition("level", "path", "key").sortWithinPartitions("level", "path", "key", F.expr("fp < 0"), "fp")
-    return dealt.mapInPandas(lambda batches: _links_of(batches, budget), "a LONG, b LONG").distinct()
+    return dealt.mapInPandas(trimmed(lambda batches: _links_of(batches, budget)), "a LONG, b LONG").distinct()
 
 
 def near_duplicates(docs: DataFrame, budget: int = BUDGET, shingle: int = 3, split_rows: int = SPLIT_ROWS) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronolink.llm.common import checkpointed, whole_text, written
+from chronolink.llm.common import checkpointed, trimmed, whole_text, written
 
 LENGTH = 400
 GRAM = 64
@@ -404,7 +404,7 @@ def repeated_spans(
 ) -> DataFrame:
     """``(doc_id, k, begin, end)``: byte ranges, perhaps overlapping, that cover exactly the bytes of
     ``docs (doc_id, k, text)`` that lie in a string of ``length`` bytes starting in two places at least."""
-    rows = written(docs.mapInPandas(lambda it: _base_rows(it, length), ROWS), "anchors")
+    rows = written(docs.mapInPandas(trimmed(lambda it: _base_rows(it, length)), ROWS), "anchors")
     spans = []
     for level in range(1, 6):
         counts = rows.groupBy("anchor").agg(
@@ -429,15 +429,15 @@ def repeated_spans(
         cold = mixed.join(hot, "anchor", "left_anti") if more else mixed
         sharded = (
             _with_text(docs, cold, ["anchor", "s", "e"])
-            .mapInPandas(lambda it: _bytes_of(it, length), "anchor LONG, doc_id LONG, k LONG, s INT, bytes BINARY")
+            .mapInPandas(trimmed(lambda it: _bytes_of(it, length)), "anchor LONG, doc_id LONG, k LONG, s INT, bytes BINARY")
             .repartition("anchor").sortWithinPartitions("anchor")
         )
-        spans.append(sharded.mapInPandas(lambda it: _shards(it, length), "doc_id LONG, k LONG, begin LONG, end LONG"))
+        spans.append(sharded.mapInPandas(trimmed(lambda it: _shards(it, length)), "doc_id LONG, k LONG, begin LONG, end LONG"))
         if not more:
             break
         rows = written(
             _with_text(docs, mixed.join(hot, "anchor", "left_semi"), ["s", "e", "p"])
-            .mapInPandas(lambda it, level=level: _narrowed(it, length, level), ROWS), "anchors",
+            .mapInPandas(trimmed(lambda it, level=level: _narrowed(it, length, level)), ROWS), "anchors",
         )
     return reduce(DataFrame.unionByName, spans)
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolink.llm.common import whole_text
+from chronolink.llm.common import trimmed, whole_text
 
 SAMPLE_ROWS = 12_000
 BITS = 20
@@ -109,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits
         return pd.DataFrame({"index": np.append(index, -1), "weight": np.append(weight, bias)})
 
     table = (
-        rows.mapInPandas(featurise, "k INT, turn LONG, label INT, packed BINARY")
+        rows.mapInPandas(trimmed(featurise), "k INT, turn LONG, label INT, packed BINARY")
         .groupBy("k").applyInPandas(learn, "index LONG, weight DOUBLE").toPandas()
     )
     table = table.sort_values("index")
