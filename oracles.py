@@ -126,6 +126,11 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
 
 
+def pages_with(text: str) -> str:
+    """Article pages with another text."""
+    return f"pg AS (SELECT page_id, rev_id, title, ns, redirect_to, {text} AS wikitext FROM corpus WHERE ns = 0 AND redirect_to IS NULL)"
+
+
 BASE = (CORPUS, ARTICLE_PAGES)
 FULL = (*BASE, articles())
 SENTENCES = (*FULL, split_sentences("art", PROSE))
@@ -153,15 +158,15 @@ LIST_TEXT = (
     " || '# two' || chr(10) || '#* dot' || chr(10) || '## again' || chr(10) || '* star' || chr(10) || '# restart'"
 )
 STACKED_TEXT = (
-    "'In [[First ' || title || ']] the [[Sales of ' || CAST(1900 + page_id % 100 AS STRING) || '|sales of '"
+    "wikitext || chr(10) || 'In [[First ' || title || ']] the [[Sales of ' || CAST(1900 + page_id % 100 AS STRING) || '|sales of '"
     " || CAST(1800 + page_id % 90 AS STRING) || ']] and [[Total|in 1950]] of 1960.'"
 )
 CODE_TEXT = (
-    "'code ' || title || '<b>x</b> <syntaxhighlight lang=\"sql\">SELECT <b>' || title"
+    "wikitext || chr(10) || 'code ' || title || '<b>x</b> <syntaxhighlight lang=\"sql\">SELECT <b>' || title"
     " || '</b> &lt; 1</syntaxhighlight> end &lt;'"
 )
 NOWIKI_TEXT = "'{{a|' || title || '}}<nowiki>{{x|' || title || '}}</nowiki> {{y}}' || wikitext"
-ENCODED_TEXT = "'see [[' || title || '/a*b~c é|label]] or [[Plain]]'"
+ENCODED_TEXT = "wikitext || 'see [[' || title || '/a*b~c é|label]] or [[Plain]]'"
 CALL_TEXT = (
     "wikitext || ' {{ quote box |a||[[X|y]] |2= B |k = v=w|k=last}} {{#if:x|y}} {{lc:ABC}} {{:Main ' || title || '}}'"
 )
@@ -325,10 +330,11 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["strip_links"] = step(linked, LINK_TEXT)
     sql["link_labels"] = step(rx(linked, (r'<a href="[^"]*">([^<]*)</a>', r"\1")), LINK_TEXT)
-    sql["encoded_links"] = (
-        f"{with_(*BASE)} SELECT page_id, 'see <a href=\"' || replace(url_encode(title), '%2F', '/') || "
-        f"'/a%2Ab~c%20%C3%A9\">label</a> or <a href=\"Plain\">Plain</a>' AS text FROM pg"
-    )
+    # addresses are encoded piece by piece, after the links have become anchors
+    anchors = f"string_split({rx(ENCODED_TEXT, FOREIGN, PIPED, PLAIN)}, '<a href=\"')"
+    address = "replace(url_encode(string_split(p, '\"')[1]), '%2F', '/') || substr(p, strpos(p, '\"'))"
+    sql["encoded_links"] = f"""{with_(*BASE)} SELECT page_id, a[1] || array_to_string(
+        list_transform(a[2:], lambda p: '<a href="' || {address}), '') AS text FROM (SELECT page_id, {anchors} AS a FROM pg)"""
     sql["drop_external_links"] = step(rx("wikitext", EXTERNAL))
     sql["drop_switches"] = step("replace(wikitext, '__NOTOC__', '')")
     ents = "html"
@@ -349,9 +355,10 @@ def oracle_sql() -> dict[str, str]:
     norm = rx(norm, ("  +", " "), (r"\.\.\.\.+", "..."))
     norm = f"regexp_replace({norm}, '\\n[^\\p{{L}}\\p{{N}}_]+?\\n', {NL}, 'g')"
     sql["normalize_text"] = step(f"replace(replace({norm}, ',,', ','), ',.', '.')", NORMALIZE_TEXT)
-    sql["code_bodies"] = (
-        f"{with_(*BASE)} SELECT page_id, 'code ' || title || 'x SELECT <b>' || title || '</b> &lt; 1 end <' AS text FROM pg"
-    )
+    # the body stays as it is: a word stands for it while the rest of the page is cleaned
+    code = "wikitext || chr(10) || 'code ' || title || '<b>x</b> CODEBODY end &lt;'"
+    sql["code_bodies"] = f"""{with_(CORPUS, pages_with(code), articles())} SELECT page_id,
+        replace(text, 'CODEBODY', 'SELECT <b>' || title || '</b> &lt; 1') AS text FROM art"""
     sql["nowiki_spans"] = (
         f"{with_(*BASE)} SELECT page_id, '<nowiki>{{{{x|' || title || '}}}}</nowiki> ' || "
         + rx("wikitext", TEMPLATE, TEMPLATE, TEMPLATE) + " AS text FROM pg"
@@ -408,9 +415,10 @@ def oracle_sql() -> dict[str, str]:
           WHEN regexp_matches(value, '^\[(BC)?\d{{4}}[-0-9]*,(BC)?\d{{4}}[-0-9]*\]$') THEN value END AS date FROM v"""
     sql["pair_dates"] = f"{with_(*PAIRED)} SELECT * FROM pairs"
     sql["pair_mentions"] = f"{with_(*PAIRED)} SELECT page_id, sid, link_ord, link, dates FROM pairs"
-    stacked = rx(STACKED_TEXT.replace("'in 1950'", "'in 1950'"), PIPED, PLAIN)
-    undated = rx(stacked, (r'<a href="[^"]*\b\d{4}\b[^"]*">', ""))
-    sql["stacked_links"] = f"""{with_(*BASE, f"sen AS (SELECT page_id, 0 AS sid, {undated} AS sentence FROM pg)", mentions(), PAIRS)}
+    # a link with a year in its title is none; the dates in its label count
+    undated = articles() + """,
+        art0 AS (SELECT page_id, title, regexp_replace(text, '<a href="[^"]*\\b\\d{4}\\b[^"]*">', '', 'g') AS text FROM art)"""
+    sql["stacked_links"] = f"""{with_(CORPUS, pages_with(STACKED_TEXT), undated, split_sentences("art0", PROSE), mentions(), PAIRS)}
         SELECT page_id, sid, link_ord, link, dates FROM pairs"""
     sql["templates"] = rf"""{with_(CORPUS)} SELECT title, arg_max(body, page_id) AS body, max(page_id) AS page_id FROM (
         SELECT title, page_id, CASE WHEN wikitext LIKE '%<onlyinclude>%' THEN regexp_extract(wikitext, '<onlyinclude>(.*)</onlyinclude>', 1)
