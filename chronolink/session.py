@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -43,3 +43,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="chronolink-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder; joins after it know its size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
