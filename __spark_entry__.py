@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +14,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
 from chronolink.functions import dates, lines, markup, titles  # noqa: E402
-from chronolink.operators import filters, headings, links, pages, pairs, sentences, templates, tokens  # noqa: E402
+from chronolink.operators import closure, filters, headings, links, pages, pairs, sentences, templates, tokens  # noqa: E402
 from chronolink.plans.articles import clean_text, extract_pairs, tag_articles  # noqa: E402
 from chronolink.plans.corpus import corpus, spread, table  # noqa: E402
 from chronolink.session import scratch_path  # noqa: E402
-from chronolink.sinks import writers  # noqa: E402
+from chronolink.sinks import bounded, writers  # noqa: E402
 from chronolink.sources import docs, dump, lists  # noqa: E402
 from chronolink.streaming import streams  # noqa: E402
 
@@ -132,6 +133,16 @@ def pair_files(spark, sf):
     return spark.read.option("lineSep", "\r\n").text(path).select(F.col("value").alias("line"))
 
 
+def bounded_pairs(spark, sf):
+    """Pair lines in files of 64 KB; ``fits`` tells whether a line's file has no more than that and one row."""
+    path = scratch_path(spark, "bounded")
+    lines = writers.format_pairs(pair_table(spark, sf)).withColumnRenamed("line", "value")
+    bounded.write_bounded(lines, path, ["page_id", "sid", "link_ord"], 1 << 16, "\r\n")
+    found = bounded.read_bounded(spark, path, "\r\n")
+    fits = bounded.file_sizes(found, 2).select("part", "file", (F.col("bytes") < (1 << 16) + F.col("longest")).alias("fits"))
+    return found.join(fits, ["part", "file"]).select(F.col("value").alias("line"), "fits")
+
+
 # --- filters ---------------------------------------------------------------------------------------
 def filter_categories(spark, sf):
     rules = spark.createDataFrame(list(oracles.CATEGORY_RULES), "category STRING, mode STRING")
@@ -243,6 +254,25 @@ def update_articles(spark, sf):
     return pages.update_articles(article_pages(spark, sf), stored, clean_text)
 
 
+def merge_buckets(spark, sf):
+    """The update on two tables in buckets of page ids."""
+    name = uuid.uuid4().hex
+    articles = old_pages(spark, sf).select(
+        "page_id", "rev_id", F.concat(F.lit("Order "), F.col("page_id").cast("string")).alias("title"),
+        F.concat(F.lit("stored Order "), F.col("page_id").cast("string")).alias("text"),
+    )
+    stored = pages.write_buckets(articles, f"articles_{name}", scratch_path(spark, "articles"), 8)
+    fresh = pages.write_buckets(article_pages(spark, sf), f"pages_{name}", scratch_path(spark, "pages"), 8)
+    return pages.merge_buckets(fresh, stored, clean_text)
+
+
+def dedupe_stored(spark, sf):
+    path = scratch_path(spark, "revisions")
+    duplicated(spark, sf).write.parquet(path)
+    newest = pages.dedupe_stored(spark.read.parquet(path))
+    return newest.select("page_id", "rev_id", "title", F.md5("wikitext").alias("text_md5"))
+
+
 def resolve_redirects(spark, sf):
     edges = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("page_id"),
@@ -260,6 +290,26 @@ def template_join(join) -> Query:
     return run
 
 
+def template_pages(spark, sf):
+    table(spark, sf, "part").createOrReplaceTempView("part")
+    return spark.sql(oracles.TEMPLATE_PAGES)
+
+
+def template_edges(spark, sf):
+    pages_df = template_pages(spark, sf)
+    return closure.template_edges(pages_df, links.redirects(pages_df))
+
+
+def template_closure(spark, sf):
+    return closure.template_closure(template_edges(spark, sf))
+
+
+def template_reach(spark, sf):
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.expr(oracles.PART_CALLS).alias("wikitext"))
+    calls = templates.template_calls(lines)
+    return closure.template_reach(calls, template_closure(spark, sf), links.redirects(template_pages(spark, sf)))
+
+
 # --- tokens ------------------------------------------------------------------------------------------
 def abbrev_tokens(spark, sf):
     documents = documents_of(spark, sf)
@@ -379,6 +429,7 @@ def queries() -> dict[str, Query]:
         "category_rules": category_rules,
         "format_pairs": lambda s, d: writers.format_pairs(pair_table(s, d)),
         "pair_files": pair_files,
+        "bounded_pairs": bounded_pairs,
         # filters
         "keep_articles": lambda s, d: article_pages(s, d).select("page_id", "rev_id", "title"),
         "drop_disambig": lambda s, d: filters.drop_disambig(article_pages(s, d)).select("page_id", "title"),
@@ -434,10 +485,15 @@ def queries() -> dict[str, Query]:
         "incremental": incremental,
         "update_articles": update_articles,
         "dedupe_pages": lambda s, d: pages.dedupe_pages(duplicated(s, d)).select("page_id", "rev_id", "title"),
+        "merge_buckets": merge_buckets,
+        "dedupe_stored": dedupe_stored,
         "corpus_stats": lambda s, d: pages.corpus_stats(corpus(s, d)),
         "resolve_redirects": resolve_redirects,
         "template_usage": template_join(templates.template_usage),
         "missing_templates": template_join(templates.missing_templates),
+        "template_edges": template_edges,
+        "template_closure": template_closure,
+        "template_reach": template_reach,
         "date_kind_counts": lambda s, d: pairs.date_kind_counts(pair_table(s, d)),
         "link_timeline": lambda s, d: pairs.link_timeline(pair_table(s, d)),
         # tokens

@@ -188,6 +188,19 @@ PART_TITLES = (
     "CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_type || ':' || p_name"
     " WHEN 2 THEN p_brand || ':' || p_name || '/' || p_type || '/' || p_size ELSE p_name || '/' || p_type END"
 )
+# templates that call templates: two smaller ones, some through redirects, and circles among the first
+TEMPLATE_PAGES = """
+SELECT p_partkey * 2 AS page_id, 1 AS rev_id, 'Template:Part ' || p_partkey AS title, 10 AS ns, CAST(NULL AS STRING) AS redirect_to,
+  '<noinclude>{{Manual}}</noinclude>' || p_name || ' {{Part ' || CAST(floor(p_partkey / 2) AS INT) || '|x={{{1|{{{2}}}}}}}} {{part '
+    || CAST(floor(p_partkey / 3) AS INT) || '|{{Part 4}}}}' || CASE WHEN p_partkey % 4 = 0 THEN ' {{Alias ' || CAST(floor(p_partkey / 8) AS INT) || '}}' ELSE '' END
+    || CASE WHEN p_partkey < 8 THEN '{{Part ' || (p_partkey + 3) || '}}' ELSE '' END AS wikitext
+FROM part
+UNION ALL
+SELECT p_partkey * 2 + 1, 1, 'Template:Alias ' || p_partkey, 10, 'Template', '#REDIRECT [[Template:'
+  || CASE WHEN p_partkey % 5 = 0 THEN 'Alias ' || (p_partkey + 1) WHEN p_partkey % 7 = 0 THEN 'Alias ' || p_partkey ELSE 'Part ' || p_partkey END || ']]'
+FROM part
+"""
+PART_CALLS = "'{{Part ' || l_partkey || '}} and {{Alias ' || l_suppkey || '|' || l_linestatus || '}}'"
 CLITIC_TEXT = "replace(replace(replace(text, ' the ', '''s the '), ' la ', '-la '), ' de ', ' l''')"
 DUPLICATED = """SELECT * FROM corpus UNION ALL
   SELECT page_id, rev_id + 1, title, ns, redirect_to, wikitext FROM corpus WHERE page_id % 7 = 0"""
@@ -292,6 +305,7 @@ def oracle_sql() -> dict[str, str]:
         ';sentence=' || {0}sentence{1}""".format("regexp_replace(", r", '([;\\])', '\\\1', 'g')")
     sql["format_pairs"] = f"{with_(*PAIRED)} SELECT page_id, sid, link_ord, {lines} AS line FROM pairs"
     sql["pair_files"] = f"{with_(*PAIRED)} SELECT {lines} AS line FROM pairs"
+    sql["bounded_pairs"] = f"{with_(*PAIRED)} SELECT {lines} AS line, true AS fits FROM pairs"
 
     # filters
     sql["keep_articles"] = f"{with_(*BASE)} SELECT page_id, rev_id, title FROM pg"
@@ -442,6 +456,26 @@ def oracle_sql() -> dict[str, str]:
     sql["template_usage"] = f"""{with_(*usage)} SELECT template, calls, body IS NOT NULL AS defined, coalesce(body, '') AS body
         FROM cnt LEFT JOIN tpl ON template = title"""
     sql["missing_templates"] = f"{with_(*usage)} SELECT template, calls FROM cnt WHERE template NOT IN (SELECT title FROM tpl)"
+    edges = rf"""pages AS ({TEMPLATE_PAGES}),
+        hop AS (SELECT title AS f, regexp_extract(wikitext, '\[\[(.*)\]\]', 1) AS t FROM pages WHERE wikitext LIKE '#REDIRECT%'),
+        way(f, t) AS (SELECT f, t FROM hop UNION SELECT way.f, hop.t FROM way JOIN hop ON way.t = hop.f),
+        ends AS (SELECT f, t FROM way WHERE t NOT IN (SELECT f FROM hop)),
+        named AS (SELECT title AS template, unnest(regexp_extract_all(replace(wikitext, '{{{{Manual}}}}', ''), '\{{\{{([A-Za-z]+ \d+)', 1)) AS n
+          FROM pages WHERE wikitext NOT LIKE '#REDIRECT%'),
+        edge AS (SELECT DISTINCT template, coalesce(t, 'Template:' || upper(left(n, 1)) || substr(n, 2)) AS uses
+          FROM named LEFT JOIN ends ON f = 'Template:' || upper(left(n, 1)) || substr(n, 2))"""
+    closure = f"""{edges},
+        reach(template, uses, depth) USING KEY (template, uses) AS (SELECT template, uses, 1 FROM edge UNION
+          SELECT r.template, e.uses, min(r.depth) + 1 FROM reach r JOIN edge e ON r.uses = e.template
+          WHERE NOT EXISTS (SELECT 1 FROM recurring.reach k WHERE k.template = r.template AND k.uses = e.uses) GROUP BY ALL)"""
+    sql["template_edges"] = f"WITH RECURSIVE {edges} SELECT template, uses FROM edge"
+    sql["template_closure"] = f"WITH RECURSIVE {closure} SELECT template, uses, CAST(depth AS INTEGER) AS depth FROM reach"
+    sql["template_reach"] = f"""WITH RECURSIVE {closure},
+        named_calls AS (SELECT unnest(regexp_extract_all({PART_CALLS}, '\\{{\\{{([A-Za-z]+ \\d+)', 1)) AS n FROM lineitem),
+        cnt AS (SELECT coalesce(t, 'Template:' || n) AS template, count(*) AS calls FROM named_calls LEFT JOIN ends ON f = 'Template:' || n GROUP BY 1),
+        both_ AS (SELECT template, calls AS direct, 0 AS nested FROM cnt UNION ALL
+          SELECT uses, 0, calls FROM cnt JOIN reach USING (template) WHERE template <> uses)
+        SELECT template, CAST(sum(direct) AS BIGINT) AS direct, CAST(sum(nested) AS BIGINT) AS nested FROM both_ GROUP BY template"""
     sql["title_parts"] = rf"""WITH v AS (SELECT p_partkey, {PART_TITLES} AS t FROM part),
         q AS (SELECT *, strpos(t, ':') AS c FROM v), r AS (SELECT *, substr(t, c + 1) AS page FROM q),
         s AS (SELECT *, string_split(page, '/') AS l FROM r)
@@ -462,6 +496,8 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN page_id % 5 <> 0 AND page_id % 3 <> 0 THEN 'stored ' || title ELSE text END AS text FROM art"""
     sql["dedupe_pages"] = f"""{with_(CORPUS, f'dup AS ({DUPLICATED})')} SELECT page_id, rev_id, title FROM dup
         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY rev_id DESC) = 1"""
+    sql["merge_buckets"] = sql["update_articles"]
+    sql["dedupe_stored"] = sql["dedupe_pages"].replace("SELECT page_id, rev_id, title FROM dup", "SELECT page_id, rev_id, title, md5(wikitext) AS text_md5 FROM dup")
     sql["corpus_stats"] = f"""{with_(*BASE)} SELECT (SELECT count(*) FROM corpus) AS pages, (SELECT count(*) FROM pg) AS articles,
         (SELECT count(*) FROM pg WHERE wikitext NOT LIKE '%' || {NL} || '{{{{disambig}}}}%') AS kept"""
     dated = """dt AS (SELECT link, unnest(string_split(regexp_replace(dates, '(\\d),(\\d{4}\\])', '\\1~\\2', 'g'), ',')) AS d FROM pairs),
