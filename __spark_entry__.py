@@ -18,7 +18,7 @@ from chronolink.operators import closure, filters, headings, links, pages, pairs
 from chronolink.plans.articles import clean_text, extract_pairs, tag_articles  # noqa: E402
 from chronolink.plans.corpus import corpus, spread, table  # noqa: E402
 from chronolink.session import scratch_path  # noqa: E402
-from chronolink.sinks import bounded, writers  # noqa: E402
+from chronolink.sinks import bounded, versions, writers  # noqa: E402
 from chronolink.sources import docs, dump, lists  # noqa: E402
 from chronolink.streaming import streams  # noqa: E402
 
@@ -143,6 +143,24 @@ def bounded_pairs(spark, sf):
     return found.join(fits, ["part", "file"]).select(F.col("value").alias("line"), "fits")
 
 
+def versioned_articles(spark, sf):
+    """An update of stored articles: a reader of the first version goes on reading it."""
+    root = scratch_path(spark, "versions")
+    articles = clean_text(article_pages(spark, sf)).select("page_id", "rev_id", "title")
+    versions.write_version(articles, root)
+    before = versions.read_version(spark, root)
+    versions.write_version(before.filter("page_id % 3 <> 0").withColumn("rev_id", F.col("rev_id") + 1), root)
+    after = versions.read_version(spark, root)
+    return before.withColumn("version", F.lit(1)).unionByName(after.withColumn("version", F.lit(2)))
+
+
+def clustered_range(spark, sf):
+    path = scratch_path(spark, "clustered")
+    documents = table(spark, sf, "documents").withColumnRenamed("doc_id", "page_id")
+    writers.write_clustered(documents, path, group_bytes=1 << 16)
+    return filters.filter_id_range(spark.read.parquet(path), 100, 160).select("page_id", "n_chars", F.md5("text").alias("text_md5"))
+
+
 # --- filters ---------------------------------------------------------------------------------------
 def filter_categories(spark, sf):
     rules = spark.createDataFrame(list(oracles.CATEGORY_RULES), "category STRING, mode STRING")
@@ -266,6 +284,14 @@ def merge_buckets(spark, sf):
     return pages.merge_buckets(fresh, stored, clean_text)
 
 
+def counted_extract(spark, sf):
+    """The counters of the corpus, as the job that writes its pairs has seen them."""
+    seen, counters = pages.counted(corpus(spark, sf), f"corpus-{uuid.uuid4().hex}")
+    kept = filters.drop_disambig(filters.keep_articles(seen))
+    extract_pairs(kept).write.parquet(scratch_path(spark, "pairs"))
+    return spark.createDataFrame([counters.get], "pages LONG, articles LONG, kept LONG")
+
+
 def dedupe_stored(spark, sf):
     path = scratch_path(spark, "revisions")
     duplicated(spark, sf).write.parquet(path)
@@ -430,6 +456,8 @@ def queries() -> dict[str, Query]:
         "format_pairs": lambda s, d: writers.format_pairs(pair_table(s, d)),
         "pair_files": pair_files,
         "bounded_pairs": bounded_pairs,
+        "versioned_articles": versioned_articles,
+        "clustered_range": clustered_range,
         # filters
         "keep_articles": lambda s, d: article_pages(s, d).select("page_id", "rev_id", "title"),
         "drop_disambig": lambda s, d: filters.drop_disambig(article_pages(s, d)).select("page_id", "title"),
@@ -487,6 +515,7 @@ def queries() -> dict[str, Query]:
         "dedupe_pages": lambda s, d: pages.dedupe_pages(duplicated(s, d)).select("page_id", "rev_id", "title"),
         "merge_buckets": merge_buckets,
         "dedupe_stored": dedupe_stored,
+        "counted_extract": counted_extract,
         "corpus_stats": lambda s, d: pages.corpus_stats(corpus(s, d)),
         "resolve_redirects": resolve_redirects,
         "template_usage": template_join(templates.template_usage),

@@ -305,6 +305,9 @@ def oracle_sql() -> dict[str, str]:
         ';sentence=' || {0}sentence{1}""".format("regexp_replace(", r", '([;\\])', '\\\1', 'g')")
     sql["format_pairs"] = f"{with_(*PAIRED)} SELECT page_id, sid, link_ord, {lines} AS line FROM pairs"
     sql["pair_files"] = f"{with_(*PAIRED)} SELECT {lines} AS line FROM pairs"
+    sql["versioned_articles"] = f"""{with_(*BASE)} SELECT page_id, rev_id, title, 1 AS version FROM pg
+        UNION ALL SELECT page_id, rev_id + 1, title, 2 FROM pg WHERE page_id % 3 <> 0"""
+    sql["clustered_range"] = "SELECT doc_id AS page_id, n_chars, md5(text) AS text_md5 FROM documents WHERE doc_id BETWEEN 100 AND 160"
     sql["bounded_pairs"] = f"{with_(*PAIRED)} SELECT {lines} AS line, true AS fits FROM pairs"
 
     # filters
@@ -500,6 +503,7 @@ def oracle_sql() -> dict[str, str]:
     sql["dedupe_stored"] = sql["dedupe_pages"].replace("SELECT page_id, rev_id, title FROM dup", "SELECT page_id, rev_id, title, md5(wikitext) AS text_md5 FROM dup")
     sql["corpus_stats"] = f"""{with_(*BASE)} SELECT (SELECT count(*) FROM corpus) AS pages, (SELECT count(*) FROM pg) AS articles,
         (SELECT count(*) FROM pg WHERE wikitext NOT LIKE '%' || {NL} || '{{{{disambig}}}}%') AS kept"""
+    sql["counted_extract"] = sql["corpus_stats"]
     dated = """dt AS (SELECT link, unnest(string_split(regexp_replace(dates, '(\\d),(\\d{4}\\])', '\\1~\\2', 'g'), ',')) AS d FROM pairs),
         kn AS (SELECT link, CASE WHEN d LIKE 'DEC%' THEN 'decade' WHEN d LIKE 'CEN%' THEN 'century' WHEN d LIKE '[%' THEN 'interval' ELSE 'date' END AS kind,
           CAST(floor(CASE WHEN d LIKE 'DEC%' THEN CAST(right(d, 3) AS INT) * 10 WHEN d LIKE 'CEN%' THEN CAST(right(d, 2) AS INT) * 100
