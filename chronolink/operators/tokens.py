@@ -7,12 +7,15 @@ with the vocabulary, not with the text.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronolink.functions.compose import let
 from chronolink.functions.titles import upper_first
+from chronolink.session import stored
 
 # --- fixed values -------------------------------------------------------------------------------
 # Characters cut off in front of and behind a word.
@@ -247,38 +250,62 @@ def clitic_counts(documents: DataFrame) -> DataFrame:
     )
 
 
+def phrase_trie(phrases: DataFrame) -> DataFrame:
+    """``(level, node, before, word, child, ends)``: the edges of the phrases' trie from the second word on.
+
+    A node is named by its words. ``before`` is the word that leads to ``node``, ``word`` the one that leads on, and
+    ``ends`` tells whether ``child`` is a phrase itself.
+    """
+    words = F.split(F.trim("phrase"), r"\s+")
+    listed = phrases.select(words.alias("words")).filter(F.size("words") > 1)
+    levels = F.sequence(F.lit(2), F.size("words"))
+    prefix = lambda n: F.array_join(F.slice("words", F.lit(1), n), " ")
+    edges = listed.select("words", F.explode(levels).alias("level")).select(
+        "level", prefix(F.col("level") - 1).alias("node"), F.element_at("words", F.col("level") - 1).alias("before"),
+        F.element_at("words", F.col("level")).alias("word"), prefix(F.col("level")).alias("child"),
+        (F.col("level") == F.size("words")).alias("ends"),
+    )
+    return edges.groupBy("level", "node", "before", "word", "child").agg(F.max("ends").alias("ends"))
+
+
 def phrase_hits(documents: DataFrame, phrases: DataFrame) -> DataFrame:
     """Listed phrases of two or more words at every position, the longest one per position.
 
-    A listed word fits a token as it is, in lower case, or capitalised. The first two words, in lower
-    case, find the candidates; only where they meet are the words ahead compared. Phrases may have any
-    number of words: how far to look ahead is read off the list.
+    A listed word fits a token as it is, in lower case, or capitalised. Every token goes out with the one behind
+    it, whatever the longest phrase. Pairs that stand nowhere in the trie are left out in the first join; the
+    levels after that join what is left of pairs with what is left of candidates, until no candidate goes on.
     """
-    listed = phrases.select(F.split(F.trim("phrase"), r"\s+").alias("words")).filter(F.size("words") > 1)
-    listed = listed.withColumn("key", F.lower(F.concat_ws(" ", F.col("words")[0], F.col("words")[1])))
-    longest = listed.agg(F.coalesce(F.max(F.size("words")), F.lit(2))).first()[0]
-    ahead = let(
-        split_words(F.col("text")),
-        lambda t: F.transform(t, lambda _, i: F.slice(t, i + 1, longest)),
-    )
-    starts = (
-        documents.select("doc_id", F.posexplode(ahead).alias("pos", "ahead"))
-        .filter(F.size("ahead") >= 2)
-        .withColumn("key", F.lower(F.concat_ws(" ", F.col("ahead")[0], F.col("ahead")[1])))
-    )
+    def beside(tokens: Column) -> Column:
+        behind = F.slice(tokens, F.lit(2), F.size(tokens))
+        return F.zip_with(tokens, behind, lambda w, n: F.struct(w.alias("w"), n.alias("next")))
+
+    pairs = documents.select("doc_id", F.posexplode(let(split_words(F.col("text")), beside)).alias("pos", "p"))
+    pairs = pairs.select("doc_id", "pos", F.col("p.w").alias("w"), F.col("p.next").alias("next")).filter(F.col("next").isNotNull())
+    pairs = pairs.withColumn("key", F.lower(F.concat_ws(" ", "w", "next")))
 
     def fits(word: Column, token: Column) -> Column:
         low = F.lower(token)
         return (word == token) | (word == low) | (word == upper_first(low))
 
+    trie = stored(phrase_trie(phrases).withColumn("key", F.lower(F.concat_ws(" ", "before", "word"))), "trie")
+    keys = trie.groupBy("key").agg(F.min("level").alias("first"), F.max("level").alias("last"))
     # both sides come straight from their tables, so AQE broadcasts a short list and splits a hot key
-    n = F.size("words")
-    matched = starts.join(listed, "key").filter(
-        (n <= F.size("ahead"))
-        & F.forall(F.zip_with("words", F.slice("ahead", F.lit(1), n), fits), lambda ok: ok)
-    )
-    return matched.groupBy("doc_id", "pos").agg(
-        F.max(F.struct(n.alias("n"), F.array_join("words", " ").alias("phrase"))).alias("longest")
+    met = stored(pairs.join(keys, "key"), "pairs")
+    roots = trie.filter("level = 2").drop("level")
+    found = met.filter("first = 2").join(roots, "key").filter(fits(F.col("before"), F.col("w")) & fits(F.col("word"), F.col("next")))
+    level = stored(found.select("doc_id", "pos", F.lit(2).alias("n"), F.col("child").alias("node"), "ends"), "phrases")
+    hits, ahead = [], met.filter("last > 2").select("doc_id", F.col("pos").alias("at"), "next", "key")
+    deeper = trie.filter("level > 2").select("node", "word", "key", "child", F.col("ends").alias("_ends"))
+    while not level.isEmpty():
+        hits.append(level.filter("ends"))
+        # the pair that begins with the last word so far leads to the next one
+        going = level.select("doc_id", "pos", "n", "node", (F.col("pos") + F.col("n") - 1).alias("at"))
+        found = going.join(ahead, ["doc_id", "at"]).join(deeper, ["node", "key"]).filter(fits(F.col("word"), F.col("next")))
+        level = stored(found.select("doc_id", "pos", (F.col("n") + 1).alias("n"), F.col("child").alias("node"), F.col("_ends").alias("ends")), "phrases")
+    if not hits:
+        hits = [level]
+    return reduce(DataFrame.unionByName, hits).groupBy("doc_id", "pos").agg(
+        F.max(F.struct("n", F.col("node").alias("phrase"))).alias("longest")
     ).select("doc_id", "pos", "longest.n", "longest.phrase")
 
 

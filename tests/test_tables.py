@@ -230,3 +230,23 @@ def test_phrases_against_a_plain_loop(spark):
         for phrase, n in read_phrases(t.split(), phrases).items():
             want[phrase] = want.get(phrase, 0) + n
     assert got == want
+
+
+def test_phrase_trie(spark):
+    """Edges of shared beginnings stand once; a phrase may end inside another one."""
+    table = spark.createDataFrame([(" a b ", "x"), ("a b c", "x"), ("a b c", "y"), ("a b d", "x"), ("e", "x"), ("", "x")], "phrase STRING, tags STRING")
+    got = {(r.level, r.node, r.before, r.word, r.child, r.ends) for r in tokens.phrase_trie(table).collect()}
+    assert got == {(2, "a", "a", "b", "a b", True), (3, "a b", "b", "c", "a b c", True), (3, "a b", "b", "d", "a b d", True)}
+
+
+def test_long_phrases_and_near_misses(spark):
+    """A phrase of 25 words is found where all of it stands; where its last word differs, the shorter one is."""
+    words = [f"w{i % 7}" for i in range(25)]
+    texts = [" ".join(words), " ".join(words[:-1]), " ".join(["W0", *words[1:24], "other"]), "w0 w1", ""]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    table = spark.createDataFrame([(" ".join(words), "x"), ("w0 w1 w2", "x")], "phrase STRING, tags STRING")
+    got = {(r.doc_id, r.pos): r.n for r in tokens.phrase_hits(documents, table).collect()}
+    short = {(d, p): 3 for d in (0, 1, 2) for p in range(0, 22, 7)}
+    assert got == {**short, (0, 0): 25}
+    none = tokens.phrase_hits(documents, table.limit(0))
+    assert none.columns == ["doc_id", "pos", "n", "phrase"] and none.collect() == []
