@@ -109,6 +109,10 @@ def scan_namespaces(spark, sf):
     return dump.read_namespaces(spark, written_dump(spark, sf))
 
 
+def scan_urlbase(spark, sf):
+    return dump.read_urlbase(spark, written_dump(spark, sf))
+
+
 def docs_roundtrip(spark, sf):
     path = scratch_path(spark, "docs")
     writers.write_docs(clean_text(article_pages(spark, sf)), path)
@@ -221,6 +225,13 @@ def date_mentions(spark, sf):
     return found.select("page_id", "sid", "pos", "value", "surface")
 
 
+def only_dates(spark, sf):
+    """Durations, sets and times of day beside dates: only dates are tagged."""
+    source = with_text(article_pages(spark, sf), oracles.TIMES_TEXT)
+    found = pairs.mentions(sentences.sentences(tag_articles(clean_text(source)))).filter("kind = 'date'")
+    return found.select("page_id", "sid", "pos", "value")
+
+
 def normalize_dates(spark, sf):
     years = table(spark, sf, "orders").select(
         "o_orderkey", F.year("o_orderdate").cast("string").alias("y")
@@ -450,6 +461,7 @@ def queries() -> dict[str, Query]:
         # sources and sinks
         "scan_dump": scan_dump,
         "scan_namespaces": scan_namespaces,
+        "scan_urlbase": scan_urlbase,
         "docs_roundtrip": docs_roundtrip,
         "json_roundtrip": json_roundtrip,
         "category_rules": category_rules,
@@ -499,6 +511,8 @@ def queries() -> dict[str, Query]:
         "sentences": lambda s, d: sentences.sentences(clean_text(article_pages(s, d))),
         "document_sentences": document_sentences,
         "date_mentions": date_mentions,
+        "only_dates": only_dates,
+        "whole_sentences": lambda s, d: sentences.sentences(clean_text(article_pages(s, d)), whole_doc=True),
         "intervals": lambda s, d: date_mentions(s, d).filter(F.col("value").startswith("[")),
         "normalize_dates": normalize_dates,
         "pair_dates": lambda s, d: flat_pairs(pair_table(s, d)),

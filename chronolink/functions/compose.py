@@ -96,8 +96,26 @@ def until_stable(text: Column, step: Callable[[Column], Column], opener: str) ->
     return let(text, run)
 
 
-# Frame a match while a text is taken apart. XML text cannot hold these characters.
-OPEN, CLOSE = "\x03", "\x04"
+# Frame a match while a text is taken apart. XML text cannot hold these characters; other texts can, so there they
+# are written as ESCAPE and another control character in the meantime, which no pattern here looks for.
+OPEN, CLOSE, ESCAPE = "\x03", "\x04", "\x05"
+_ESCAPED = {ESCAPE: ESCAPE + "\x06", OPEN: ESCAPE + "\x07", CLOSE: ESCAPE + "\x08"}
+
+
+def escape_frames(text: Column) -> Column:
+    """``text`` without frame characters of its own."""
+    escaped = text
+    for raw, held in _ESCAPED.items():
+        escaped = F.replace(escaped, F.lit(raw), F.lit(held))
+    return F.when(text.rlike(f"[{OPEN}{CLOSE}{ESCAPE}]"), escaped).otherwise(text)
+
+
+def unescape_frames(text: Column) -> Column:
+    """What ``escape_frames`` took away is back."""
+    plain = text
+    for raw, held in reversed(_ESCAPED.items()):
+        plain = F.replace(plain, F.lit(held), F.lit(raw))
+    return F.when(text.contains(ESCAPE), plain).otherwise(text)
 
 
 def split_matches(text: Column, pattern: str | Column, keep: str = "$0") -> Column:
@@ -124,9 +142,9 @@ def rewrite_matches(
 ) -> Column:
     """Replace every match by ``rewrite(match, index)``; replaced text is not scanned again."""
     pieces = F.transform(
-        split_matches(text, pattern),
-        lambda piece, i: F.when(i == 0, piece).otherwise(
-            F.concat(let(match_of(piece), lambda m: rewrite(m, i - 1)), rest_of(piece))
+        split_matches(escape_frames(text), pattern),
+        lambda piece, i: F.when(i == 0, unescape_frames(piece)).otherwise(
+            F.concat(let(unescape_frames(match_of(piece)), lambda m: rewrite(m, i - 1)), unescape_frames(rest_of(piece)))
         ),
     )
     return F.array_join(pieces, "")

@@ -141,6 +141,10 @@ LINK_TEXT = (
     "wikitext || chr(10) || '[[File:b.png|thumb|see [[' || title || ']] now]] [[w:Foo bar|foo]]s "
     "[[:Category:Bar|bar]] [[' || title || '#top|x|the  top ]]'"
 )
+TIMES_TEXT = (
+    "wikitext || chr(10) || 'It took 3 weeks and 12 days, every Monday at 10:30, twice a year or for 20 minutes, until ' || "
+    "CAST(1950 + page_id % 50 AS STRING) || ' in [[Old Town]].'"
+)
 PLACEHOLDER_TEXT = (
     "wikitext || '<math>' || title || '</math> <math>x+1</math><code>a</code> <math>' || title || '</math>'"
 )
@@ -294,6 +298,7 @@ def oracle_sql() -> dict[str, str]:
     sql["scan_namespaces"] = (
         f"{with_(CORPUS)} SELECT DISTINCT ns AS ns_key, CASE ns WHEN 10 THEN 'Template' ELSE '' END AS ns_name FROM corpus"
     )
+    sql["scan_urlbase"] = "SELECT 'https://wiki.example.org/wiki' AS urlbase"
     sql["docs_roundtrip"] = f"{with_(*FULL)} SELECT page_id, rev_id, title, text FROM art"
     sql["json_roundtrip"] = f"""{with_(*FULL)} SELECT CAST(page_id AS VARCHAR) AS id,
         'https://wiki.example.org/wiki?curid=' || page_id AS url, title, title || {NL} || {NL} || text AS text,
@@ -421,6 +426,11 @@ def oracle_sql() -> dict[str, str]:
         SELECT page_id, sid, sentence FROM sen"""
     surface = "replace(m, ' – ', '-')"
     sql["date_mentions"] = f"{with_(*SENTENCES, mentions())} SELECT page_id, sid, pos, value, {surface} AS surface FROM men WHERE NOT is_link"
+    sql["only_dates"] = f"""{with_(CORPUS, pages_with(TIMES_TEXT), articles(), split_sentences('art', PROSE), mentions())}
+        SELECT page_id, sid, pos, value FROM men WHERE NOT is_link"""
+    stored_form = f"""whole AS (SELECT page_id, '<doc id="' || page_id || '" revid="' || rev_id || '" title="' || title || '">' || {NL} ||
+        title || {NL} || {NL} || text || {NL} || {NL} || '</doc>' || {NL} AS text FROM art)"""
+    sql["whole_sentences"] = f"{with_(*FULL, stored_form, split_sentences('whole', 'text'))} SELECT page_id, sid, sentence FROM sen"
     sql["intervals"] = sql["date_mentions"] + " AND value LIKE '[%'"
     sql["normalize_dates"] = rf"""WITH v AS (SELECT o_orderkey, {DATE_VALUES} AS value
           FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS STRING) AS y FROM orders))

@@ -118,3 +118,23 @@ def test_sentences(spark, page):
     assert [r.sentence for r in sentences(articles).orderBy("sid").collect()] == [
         "One.", "Two:", "three;", '"Four?', " five!", 'six "x" Mr.', "Seven",
     ]
+
+
+def test_texts_may_hold_the_characters_that_frame_matches(spark, apply):
+    """Control characters of a text stay where they are, whatever they stand beside."""
+    import random
+    import re
+
+    from chronolink.functions.compose import rewrite_matches
+    from chronolink.operators.sentences import split_sentences
+
+    rng = random.Random(4)
+    texts = ["\x03", "\x04\x05", "\x05b", "In 1999\x03. x\x04y, 2001", "a\x05c. b\x05ab! c"]
+    texts += ["".join(rng.choice("\x03\x04\x05\x06\x07abc1. \n") for _ in range(40)) for _ in range(200)]
+    marked = apply(lambda c: rewrite_matches(c, r"[a1]+", lambda m, i: F.concat(F.lit("<"), m, i.cast("string"), F.lit(">"))), *texts)
+    for text, got in zip(texts, marked):
+        numbers = iter(range(1000))
+        assert got == re.sub("[a1]+", lambda m: f"<{m[0]}{next(numbers)}>", text)
+    assert apply(lambda c: split_sentences(c), *texts) == [
+        [s for s in re.sub('([.:;?!])[ "]|\n|BULLET::::', lambda m: (m[1] or "") + "\ue000", t).split("\ue000") if len(s) > 3] for t in texts
+    ]

@@ -250,3 +250,13 @@ def test_long_phrases_and_near_misses(spark):
     assert got == {**short, (0, 0): 25}
     none = tokens.phrase_hits(documents, table.limit(0))
     assert none.columns == ["doc_id", "pos", "n", "phrase"] and none.collect() == []
+
+
+def test_many_parameters(spark, page):
+    """Of equal names the last counts, numbered ones among them; the work does not grow with the square of their number."""
+    text = "{{T|a|2=x|b|k=1|k=2|" + "|".join(f"p{i % 900}={i}" for i in range(3000)) + "|last}}"
+    params = templates.template_calls(page(text)).first().params
+    want = {"1": "a", "2": "b", "3": "last", "k": "2"} | {f"p{i % 900}": str(i) for i in range(3000)}
+    assert dict(params) == want
+    assert dict(templates.template_calls(page("{{T|x|1=y}}")).first().params) == {"1": "y"}
+    assert dict(templates.template_calls(page("{{T}}")).first().params) == {}
