@@ -82,7 +82,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits
     """A model fitted on about ``sample_rows`` labelled documents at most, chosen by a hash of their id.
 
     Only ids that are not held out count. Where an id has several labels, the highest holds; null
-    labels do not count. Features are made where the texts lie; one task then sees the bounded sample.
+    labels do not count. Of several rows under one id, the one whose features come first counts. Features are made where the texts lie; one task then sees the bounded sample.
     """
     known = (
         labels.filter(~held_out()).filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits
         for batch in batches:
             packed = [np.unique(features(t, bits)).astype("<u4").tobytes() for t in batch._llm_text]
             yield pd.DataFrame({
-                "k": 0, "turn": [xxhash.xxh64_intdigest(str(i)) >> 1 for i in batch.doc_id],
+                "turn": [xxhash.xxh64_intdigest(str(i)) >> 1 for i in batch.doc_id],
                 "label": batch._llm_label.to_numpy(), "packed": packed,
             })
 
@@ -108,8 +108,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, bits
         )
         return pd.DataFrame({"index": np.append(index, -1), "weight": np.append(weight, bias)})
 
+    featured = rows.mapInPandas(trimmed(featurise), "turn LONG, label INT, packed BINARY")
+    # one row per id, so that the last step is bounded by the sample however often an id stands in the table
+    single = featured.groupBy("turn").agg(F.min(F.struct("packed", "label")).alias("one"))
     table = (
-        rows.mapInPandas(trimmed(featurise), "k INT, turn LONG, label INT, packed BINARY")
+        single.select(F.lit(0).alias("k"), "turn", "one.*")
         .groupBy("k").applyInPandas(learn, "index LONG, weight DOUBLE").toPandas()
     )
     table = table.sort_values("index")

@@ -55,3 +55,11 @@ def test_messy_and_unlabelled(spark, messy, documents):
     scored = toxicity.score(messy, toxicity.fit(messy, odd)).collect()
     assert len(scored) == messy.count() and all(0 <= r.score <= 1 for r in scored)
     assert toxicity.score(documents([]), model).collect() == []
+
+
+def test_an_id_counts_once(spark, documents):
+    """Rows that repeat a labelled id many times leave the model as it is."""
+    rows = [(i, f"word{i % 3} common text {'bad' if i % 2 else 'fine'} {i % 5}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id LONG, toxic INT")
+    once, often = (toxicity.fit(documents(r), labels) for r in (rows, rows + rows[:7] * 40))
+    assert once.index.tolist() == often.index.tolist() and once.weight.tolist() == often.weight.tolist() and once.bias == often.bias
