@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies keep the row with the least id and text hash, null ids last; rows equal
-    in id and text stay once."""
+    in id and text stay once, with the other columns of any one of them."""
     small_batches(spark)
     text = F.xxhash64("text")
     rows = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), text.alias("hash"))
@@ -73,7 +73,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: A fitted model decides what stays, which SQL cannot state; tests compare with a brute-force version.
+#: A fitted model decides what stays, which SQL cannot state. The tests hold each stage against the operator it applies; the
+#: operators have comparisons with brute force, exact round trips or held-out accuracy of their own.
 ORACLE_SQL = None
 
 
