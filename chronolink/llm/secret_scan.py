@@ -138,7 +138,9 @@ def scan(docs: DataFrame, words: tuple[str, ...] = tuple(WORDS), secret_cost: fl
     Kinds are assign, access and hex, and guess for what the guess cost adds; base spans always stay.
     Null and empty texts have no spans; repeated rows are scanned repeatedly; other columns are not read.
     ``words`` replaces the guessers' word list, most likely first. Values of letters alone are also pieced
-    together from the corpus's own frequent words, so that prose after a credential word is no secret.
+    together from the corpus's own frequent words, so that prose after a credential word is no secret: the
+    ``FREQUENT_WORDS`` most frequent ones that stand at least ``LEAST_COUNT`` times. That word list depends on the
+    table, and so do such added spans; base spans do not.
     """
     frequent = frequent_words(docs)
     order = {k: i for i, k in enumerate(("assign", "access", "hex", "guess"))}
