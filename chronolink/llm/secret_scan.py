@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronolink.llm.common import whole_text
+from chronolink.llm.common import whole_text, written
 
 #: Log10 of the guesses from which a value counts as chosen to be secret.
 SECRET_COST = 10.5
@@ -109,10 +109,23 @@ def char_cost(c: str) -> float:
 
 
 def frequent_words(docs: DataFrame, most: int = FREQUENT_WORDS, least: int = LEAST_COUNT) -> list[str]:
-    """The most frequent words of the texts, in lower case; what stands in a credential context is not counted."""
+    """The most frequent words of the texts, in lower case; what stands in a credential context is not counted.
+
+    Words are dealt to ranges by count, then alphabet. Only the first ranges that hold ``most`` words are sorted to the
+    end, so the driver gets fewer than twice as many, however many partitions and words of one count there are.
+    """
     found = F.explode(F.regexp_extract_all(whole_text(), F.lit(_PLAIN_WORD), F.lit(1)))
     counts = docs.select(found.alias("word")).filter("word <> ''").groupBy(F.lower("word").alias("word")).count()
-    top = counts.filter(F.col("count") >= least).orderBy(F.desc("count"), "word").limit(most)
+    order = [F.desc("count"), F.asc("word")]
+    ranged = counts.filter(F.col("count") >= least).repartitionByRange(*order)
+    ranged = written(ranged.withColumn("part", F.spark_partition_id()), "words")
+    sizes = {r.part: r["count"] for r in ranged.groupBy("part").count().collect()}  # a row per range
+    last, held = -1, 0
+    for part in sorted(sizes):
+        if held >= most:
+            break
+        last, held = part, held + sizes[part]
+    top = ranged.filter(F.col("part") <= last).orderBy(*order).limit(most)
     return [r.word for r in top.select("word").collect()]
 
 

@@ -146,3 +146,18 @@ def test_messy(messy, documents):
         assert operator(documents([])).collect() == []
     assert pii.redact(messy).columns == messy.columns
     assert hashlib.sha256(b"").hexdigest() == messy.limit(1).select(F.sha2(F.lit(""), 256).alias("s")).first().s
+
+
+@pytest.mark.parametrize("most", [0, 1, 40, 333, 5_000])
+def test_frequent_words_with_ties_at_the_cut(documents, most):
+    """One word holds a third of all places, most others stand equally often: by count, then alphabet."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choices(letters, k=5)) for _ in range(1_200)]
+    places = words * 3 + words[:200] + ["common"] * 1_900 + ["seldom"] * 2
+    rng.shuffle(places)
+    texts = [" ".join(places[i :: 60]) for i in range(60)]
+    counts = {w: places.count(w) for w in set(places)}
+    expected = sorted((w for w in counts if counts[w] >= 3), key=lambda w: (-counts[w], w))[:most]
+    found = secret_scan.frequent_words(documents([*enumerate(texts), (98, None), (99, "")]), most, 3)
+    assert found == expected
