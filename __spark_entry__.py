@@ -408,6 +408,13 @@ def stream_incremental(spark, sf):
     return flat_pairs(found.drop("run", "batch_id"))
 
 
+def stream_seeded(spark, sf):
+    source, stored = filters.keep_articles(page_stream(spark, sf)), old_pages(spark, sf)
+    return flat_pairs(
+        streams.run_to_end(spark, lambda p, c: streams.stream_seeded(source, stored, p, c), "stream-seeded")
+    )
+
+
 # --- scalar mapping --------------------------------------------------------------------------------------
 def scalar_strings(spark, sf):
     name, brand = F.col("p_name"), F.col("p_brand")
@@ -549,6 +556,7 @@ def queries() -> dict[str, Query]:
         "stream_dump_pairs": stream_dump_pairs,
         "stream_dedupe": stream_dedupe,
         "stream_incremental": stream_incremental,
+        "stream_seeded": stream_seeded,
         # scalar mapping
         "scalar_strings": scalar_strings,
         "scalar_logic": scalar_logic,

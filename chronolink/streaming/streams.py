@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from chronolink.operators.pages import REVISION
 from chronolink.plans.articles import extract_pairs
@@ -84,6 +86,65 @@ def stream_incremental(
     )
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _FirstSeen(StatefulProcessor):
+    """Lets the first page of a revision pass that was not known before. The state is one flag per revision."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._known = handle.getValueState("known", "known BOOLEAN")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if not self._known.exists():
+            self._known.update((True,))
+            yield next(rows)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self._known.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def fresh_pages(pages: DataFrame, stored: DataFrame) -> DataFrame:
+    """Arriving pages whose revision is neither in ``stored`` nor came before, each revision once.
+
+    The keys of ``stored`` are the state that the first batch starts from; from then on a batch meets only
+    the state of its own keys, whatever has piled up. Needs RocksDB as the state store, as ``stream_seeded``
+    sets it. Of a revision that comes more than once in a batch an arbitrary row passes. Null keys are keys.
+    """
+    seed = stored.select(*REVISION).distinct().groupBy(*REVISION)
+    return pages.groupBy(*REVISION).transformWithState(
+        _FirstSeen(), pages.schema, outputMode="Append", timeMode="None", initialState=seed
+    )
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def stream_seeded(pages: DataFrame, stored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Extract only revisions that are neither in ``stored`` nor extracted before, by keyed state.
+
+    Unlike ``stream_incremental`` no batch after the first reads any earlier key, and the file sink writes each
+    pair exactly once; page texts of fresh revisions are shuffled by key. ``stored`` counts when the
+    checkpoint is new: another checkpoint starts from what ``stored`` holds then.
+    """
+    with _setting(pages.sparkSession, _PROVIDER, _ROCKSDB):  # a started query keeps its own copy
+        return _start(extract_pairs(fresh_pages(pages, stored)), path, checkpoint)
+
+
 def run_to_end(spark: SparkSession, start, name: str) -> DataFrame:
     """Run a stream over what is there and give its output back as a table."""
     path, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-state")

@@ -544,7 +544,7 @@ def oracle_sql() -> dict[str, str]:
     # streams
     sql["stream_pairs"] = sql["stream_dump_pairs"] = sql["pair_dates"]
     sql["stream_dedupe"] = f"{with_(CORPUS, f'dup AS ({DUPLICATED})')} SELECT DISTINCT page_id, rev_id, title FROM dup"
-    sql["stream_incremental"] = f"{with_(*PAIRED)} SELECT * FROM pairs WHERE page_id % 5 = 0 OR page_id % 3 = 0"
+    sql["stream_incremental"] = sql["stream_seeded"] = f"{with_(*PAIRED)} SELECT * FROM pairs WHERE page_id % 5 = 0 OR page_id % 3 = 0"
 
     # scalar mapping
     sql["scalar_strings"] = r"""SELECT p_partkey, lower(p_brand) AS lc, upper(p_name) AS uc,
