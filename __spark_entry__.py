@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
 from chronolink.functions import dates, lines, markup, titles  # noqa: E402
-from chronolink.operators import closure, filters, headings, links, pages, pairs, sentences, templates, tokens  # noqa: E402
+from chronolink.operators import closure, date_words, filters, headings, links, pages, pairs, sentences, templates, tokens  # noqa: E402
 from chronolink.plans.articles import clean_text, extract_pairs, tag_articles  # noqa: E402
 from chronolink.plans.corpus import corpus, spread, table  # noqa: E402
 from chronolink.session import scratch_path  # noqa: E402
@@ -232,6 +232,12 @@ def only_dates(spark, sf):
     return found.select("page_id", "sid", "pos", "value")
 
 
+def dates_by_language(spark, sf):
+    """Whole texts in four languages, a sentence with dates behind each."""
+    texts = documents_of(spark, sf).select("doc_id", "lang", F.expr(oracles.DATED_TEXT).alias("text"))
+    return date_words.dates_by_language(texts)
+
+
 def normalize_dates(spark, sf):
     years = table(spark, sf, "orders").select(
         "o_orderkey", F.year("o_orderdate").cast("string").alias("y")
@@ -522,6 +528,7 @@ def queries() -> dict[str, Query]:
         "whole_sentences": lambda s, d: sentences.sentences(clean_text(article_pages(s, d)), whole_doc=True),
         "intervals": lambda s, d: date_mentions(s, d).filter(F.col("value").startswith("[")),
         "normalize_dates": normalize_dates,
+        "dates_by_language": dates_by_language,
         "pair_dates": lambda s, d: flat_pairs(pair_table(s, d)),
         "pair_mentions": lambda s, d: flat_pairs(pairs.pair_mentions(pairs.mentions(prose(s, d)))),
         "stacked_links": stacked_links,

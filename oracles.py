@@ -7,6 +7,7 @@ where Spark works inside a row, joins where Spark uses arrays, and patterns with
 from __future__ import annotations
 
 from chronolink.functions.markup import IGNORED_TAGS
+from chronolink.operators.date_words import MONTHS, SHAPES, TOKEN, date_words
 from chronolink.operators.tokens import LEADING, TRAILING
 from chronolink.plans.corpus import CORPUS_SQL
 
@@ -37,6 +38,27 @@ EXTERNAL = (r"\[http://[^\]]*\]", "")
 HTML = ((r"<!--[^>]*-->", ""), (r"<br/>", ""), (r"</?b>", ""), (r"<ref>[^<]*</ref>", ""))
 
 
+def _dated(lang: str, sentence: str) -> str:
+    """A sentence with places for day, month, year, century, early year and decade of a document, as an expression."""
+    names = MONTHS[lang].title() if lang in ("en", "de") else MONTHS[lang]
+    parts = {
+        "D": "CAST(doc_id % 28 + 1 AS STRING)", "M": f"split_part('{names}', ' ', CAST(doc_id % 12 AS INT) + 1)",
+        "Y": "CAST(1600 + doc_id % 400 AS STRING)", "C": "CAST(doc_id % 17 + 4 AS STRING)",
+        "N": "CAST(doc_id % 700 + 1 AS STRING)", "T": "CAST(170 + doc_id % 30 AS STRING) || '0'",
+    }
+    pieces = sentence.split("~")
+    return " || ".join(parts[p] if i % 2 else quoted(p) for i, p in enumerate(pieces))
+
+
+# Whole texts with dates in their language behind them.
+DATED_TEXT = f"""coalesce(text, '') || ' ' || CASE lang
+    WHEN 'en' THEN {_dated('en', 'On ~D~ ~M~ ~Y~, ~M~ ~D~, ~Y~ or the 2nd of ~M~ ~Y~; ~M~, ~Y~ in the ~C~th century, ~N~ BC, not the ~T~s. May 3.')}
+    WHEN 'de' THEN {_dated('de', 'Am ~D~. ~M~ ~Y~, im ~M~ ~Y~, im ~C~. Jahrhundert, ~N~ v. Chr. und die ~T~er: 1234er Mai.')}
+    WHEN 'fr' THEN {_dated('fr', 'Le ~D~ ~M~ ~Y~, le 1er ~M~ ~Y~, en ~M~ ~Y~ au ~C~e siècle, en ~N~ av. J.-C. et en 99.')}
+    WHEN 'es' THEN {_dated('es', 'El ~D~ de ~M~ de ~Y~, en ~M~ de ~Y~ del siglo ~C~, ~N~ a. C. y 32 de ~M~.')}
+    ELSE {_dated('en', '~D~ ~M~ ~Y~')} END"""
+
+
 def articles(keep_sections: bool = False) -> str:
     """CTEs from ``pg`` to ``art``: cleaned articles, lines handled one by one."""
     markup = rx(
@@ -522,6 +544,27 @@ def oracle_sql() -> dict[str, str]:
     sql["link_timeline"] = f"""{with_(*PAIRED, dated)} SELECT kind, century, count(*) AS n, count(DISTINCT link) AS links
         FROM kn GROUP BY ROLLUP (kind, century)"""
 
+    # tokens are rows here, and their classes come from a join
+    listed = ", ".join(f"({quoted(lang)}, {quoted(w)}, {quoted(k)})" for lang, ws in date_words().items() for w, k in ws.items())
+    sql["dates_by_language"] = f"""WITH dict(lang, word, kind) AS (VALUES {listed}),
+        tk AS (SELECT doc_id, lang, unnest(toks) AS tok, generate_subscripts(toks, 1) AS i
+          FROM (SELECT doc_id, lang, regexp_extract_all({DATED_TEXT.replace("AS STRING", "AS VARCHAR")}, {quoted(TOKEN)}) AS toks FROM documents)),
+        pt AS (SELECT *, regexp_extract(tok, '^[0-9]*') AS num, regexp_replace(tok, '^[0-9]+', '') AS tail FROM tk),
+        cl AS (SELECT doc_id, i, tok, CASE WHEN tok = '.' THEN 'p' WHEN tok = ',' THEN 'q'
+            WHEN num = '' AND kind NOT IN ('s', 't') THEN kind WHEN num = '' THEN 'x'
+            WHEN (tail = '' OR kind = 's') AND length(num) < 3 AND TRY_CAST(num AS INT) BETWEEN 1 AND 31 THEN 'd'
+            WHEN tail = '' AND length(num) = 4 THEN 'y' WHEN tail = '' AND length(num) < 4 THEN 'n'
+            WHEN kind = 't' AND length(num) = 4 AND num LIKE '%0' THEN 'k' ELSE 'x' END AS kind
+          FROM pt LEFT JOIN dict ON pt.lang = dict.lang AND lower(tail) = word),
+        rw AS (SELECT doc_id, string_agg(coalesce(kind, 'x') || ':' || tok || ' ', '' ORDER BY i) AS r FROM cl GROUP BY doc_id),
+        mt AS (SELECT doc_id, unnest(m) AS f, generate_subscripts(m, 1) AS ord FROM (SELECT doc_id, regexp_extract_all(r, {quoted(SHAPES)}) AS m FROM rw)),
+        pc AS (SELECT *, regexp_extract(f, 'd:(\\d+)', 1) AS d, regexp_extract(f, 'm(\\d\\d):', 1) AS m, regexp_extract(f, 'y:(\\d+)', 1) AS y FROM mt)
+        SELECT doc_id, CAST(ord AS INT) AS ord, rtrim(regexp_replace(f, '(^| )[a-z]\\d*:', '\\1', 'g')) AS surface,
+          CASE WHEN regexp_matches(f, '(^| )[cg]:') THEN lpad(CAST(CAST(d AS INT) - 1 AS VARCHAR), 2, '0')
+            WHEN regexp_matches(f, ' [eh]:') THEN 'BC' || lpad(regexp_extract(f, '^[dny]:(\\d+)', 1), 4, '0')
+            WHEN f LIKE 'k:%' THEN substr(f, 3, 3) WHEN m <> '' AND d <> '' THEN y || '-' || m || '-' || lpad(d, 2, '0')
+            WHEN m <> '' THEN y || '-' || m ELSE y END AS value FROM pc"""
+
     # tokens
     plain = TOKENS.format(body="list_concat(parts, CASE WHEN stops THEN ['.'] ELSE [] END)", join="")
     sql["token_counts"] = f"{with_(words(), CLITICS, plain)} SELECT lang, token, n FROM tc"
