@@ -516,9 +516,13 @@ def queries() -> dict[str, Query]:
         ),
         "article_lines": article_lines,
         "headings": lambda s, d: headings.headings(with_text(article_pages(s, d), oracles.HEADING_TEXT)),
+        "text_without_lists": lambda s, d: clean_text(
+            with_text(article_pages(s, d), oracles.LIST_TEXT), keep_lists=False
+        ),
         "list_items": lambda s, d: headings.list_items(with_text(article_pages(s, d), oracles.LIST_TEXT)),
         # extraction
         "links": lambda s, d: links.links(clean_text(article_pages(s, d))),
+        "undated_links": lambda s, d: links.undated_links(clean_text(with_text(article_pages(s, d), oracles.STACKED_TEXT))),
         "page_links": lambda s, d: links.html_links(web_pages(s, d)),
         "sections": lambda s, d: sentences.sections(clean_text(article_pages(s, d), keep_sections=True)),
         "sentences": lambda s, d: sentences.sentences(clean_text(article_pages(s, d))),

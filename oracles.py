@@ -59,8 +59,9 @@ DATED_TEXT = f"""coalesce(text, '') || ' ' || CASE lang
     ELSE {_dated('en', '~D~ ~M~ ~Y~')} END"""
 
 
-def articles(keep_sections: bool = False) -> str:
+def articles(keep_sections: bool = False, keep_lists: bool = True) -> str:
     """CTEs from ``pg`` to ``art``: cleaned articles, lines handled one by one."""
+    dropped = ("'none'", *(["'head'"] * (not keep_sections)), *(["'bullet'", "'number'"] * (not keep_lists)))
     markup = rx(
         "wikitext", TEMPLATE, TEMPLATE, TEMPLATE, TABLE, BOLD, ITALIC, FOREIGN, PIPED, PLAIN,
         EXTERNAL, ("__NOTOC__", ""), *HTML,
@@ -85,7 +86,7 @@ it AS (SELECT page_id, rev_id, title, n, kind, CASE kind
          WHEN 'number' THEN 'BULLET::::' || row_number() OVER (PARTITION BY page_id, run ORDER BY n) || '. ' || trim(substr(line, 2))
          WHEN 'bullet' THEN 'BULLET::::- ' || trim(substr(line, 2))
          WHEN 'head' THEN {head[1]} ELSE line END AS line
-       FROM ru {"" if keep_sections else "WHERE kind <> 'head'"}),
+       FROM ru WHERE kind NOT IN ({", ".join(dropped)})),
 bl AS (SELECT *, lag(line) OVER (PARTITION BY page_id ORDER BY n) AS before,
               max(CASE WHEN line <> '' THEN n END) OVER (PARTITION BY page_id) AS last_n FROM it),
 kept AS (SELECT * FROM bl WHERE n <= last_n AND (line <> '' OR before <> '')),
@@ -409,6 +410,8 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["article_lines"] = f"""{with_(*FULL)} SELECT page_id, unnest(string_split(text, {NL})) AS line,
         CAST(generate_subscripts(string_split(text, {NL}), 1) - 1 AS INT) AS line_no FROM art"""
+    sql["text_without_lists"] = f"""{with_(CORPUS, pages_with(LIST_TEXT), articles(keep_lists=False))}
+        SELECT page_id, rev_id, title, text FROM art"""
     sql["headings"] = rf"""{with_(*BASE)}, tx AS (SELECT page_id, {HEADING_TEXT} AS t FROM pg),
         ln AS (SELECT page_id, unnest(string_split(t, {NL})) AS line, generate_subscripts(string_split(t, {NL}), 1) AS n FROM tx),
         kd AS (SELECT *, length(regexp_extract(line, '^(==+)', 1)) AS level FROM ln),
@@ -436,6 +439,11 @@ def oracle_sql() -> dict[str, str]:
     sql["links"] = rf"""{with_(*FULL)}, hit AS (SELECT page_id, unnest(regexp_extract_all(text, '{ANCHOR}')) AS a,
         CAST(generate_subscripts(regexp_extract_all(text, '{ANCHOR}'), 1) - 1 AS INT) AS link_no FROM art)
         SELECT page_id, link_no, regexp_extract(a, '"([^"]*)"', 1) AS link, regexp_extract(a, '>([^<]*)<', 1) AS label FROM hit"""
+    sql["undated_links"] = rf"""{with_(CORPUS, pages_with(STACKED_TEXT), articles())}, hit AS (
+          SELECT page_id, unnest(regexp_extract_all(text, '{ANCHOR}')) AS a, generate_subscripts(regexp_extract_all(text, '{ANCHOR}'), 1) AS n FROM art),
+        parts AS (SELECT page_id, n, regexp_extract(a, '"([^"]*)"', 1) AS link, regexp_extract(a, '>([^<]*)<', 1) AS label FROM hit)
+        SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS INT) AS link_no, link, label
+        FROM parts WHERE NOT regexp_matches(link, '\b\d{{4}}\b')"""
     web = r"""<a href="[^"]*">[^<]*</a>"""
     sql["page_links"] = rf"""WITH hit AS (SELECT page_id, unnest(regexp_extract_all(html, '{web}')) AS a,
         CAST(generate_subscripts(regexp_extract_all(html, '{web}'), 1) - 1 AS INT) AS link_no FROM pages)
