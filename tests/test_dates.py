@@ -138,3 +138,35 @@ def test_texts_may_hold_the_characters_that_frame_matches(spark, apply):
     assert apply(lambda c: split_sentences(c), *texts) == [
         [s for s in re.sub('([.:;?!])[ "]|\n|BULLET::::', lambda m: (m[1] or "") + "\ue000", t).split("\ue000") if len(s) > 3] for t in texts
     ]
+
+
+def test_intervals_pair_off_from_the_left(apply):
+    import re
+
+    from chronolink.functions.dates import merge_intervals
+
+    def tag(i, value, mod=""):
+        return f'<TIMEX3 tid="t{i}" type="DATE" value="{value}"{mod}>{value}</TIMEX3>'
+
+    one = r'<TIMEX3 tid="([^"]*)" type="DATE" value="([^"]*)">([^<]*)</TIMEX3>'
+    a, b, c, d = (tag(i, 1990 + i) for i in range(4))
+    odd = tag(9, 1999, ' mod="APPROX"')
+    texts = [
+        f"x {a}–{b} y", f"{a} – {b} – {c}", f"{a}–{b}–{c} –{d}.", f"{a}  – {b}", f"{a}-{b}", f"{a}–{odd}–{b}", f"{odd}–{a}–{b}–",
+        f"– {a}", f"{a} –", "no – date", "", f"{a}–\n{b}", f"\x03{a}\x04–{b}\x05", f"{a}–{b} and {c}–{d}", f"{a}––{b}–{c}",
+    ]
+    joined = r'<TIMEX3 tid="\1" type="DATE" value="[\2,\5]">\3-\6</TIMEX3>'
+    expected = [re.sub(rf"{one} ?– ?{one}", joined, t) for t in texts]
+    assert apply(merge_intervals, *texts) == expected
+    assert apply(merge_intervals, None) == [None]
+
+
+def test_titles_and_their_colons(apply):
+    from chronolink.functions.titles import normalize_title
+
+    cases = {
+        " _foo__bar _": "Foo bar", "template:  box": "Template:Box", "template:box": "Template:Box", "talk: box": "Talk: Box",
+        "talk:box": "Talk:Box", "a:": "A:", "a: ": "A:", ":x": ":X", "a:b:c": "A:B:c", "": "", ":": ":", "\tx": " x", "é_:ü": "É :Ü",
+    }
+    assert apply(normalize_title, *cases) == list(cases.values())
+    assert apply(normalize_title, None) == [None]
