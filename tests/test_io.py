@@ -231,3 +231,25 @@ def test_rejects_are_kept_apart(spark, tmp_path):
     (tmp_path / "dump").write_text("<mediawiki><page><title>A</title><id>1</id></page>\n<page><title>B</titel></page></mediawiki>")
     assert dump.read_dump(spark, str(tmp_path / "dump")).count() == 1
     assert dump.dump_rejects(spark, str(tmp_path / "dump")).count() == 1
+
+
+def test_ordered_files_compute_their_rows_once(spark, tmp_path):
+    """Bounds of ranges are sampled from a stored table, so the work in front of them is not done twice."""
+    from chronolink.sinks import bounded
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    source = spark.range(90, -1, -1, 3).selectExpr("id AS page_id", "0 AS sid", "1 AS link_ord", "array('1999') AS dates", "'L' AS link", "'s' AS sentence")
+    found = source.mapInPandas(counted, source.schema)
+    writers.write_pairs(found, str(tmp_path / "p"), ordered=True)
+    assert seen.value == 91
+    written = [open(f).read() for f in sorted(glob.glob(f"{tmp_path}/p/part-*"))]
+    assert [line.split(";")[0] for text in written for line in text.splitlines()] == [f"artid={i}" for i in range(91)]
+    lines = source.select("page_id", "sid", "link_ord", F.col("page_id").cast("string").alias("value"))
+    bounded.write_bounded(lines.mapInPandas(counted, lines.schema), str(tmp_path / "b"), ["page_id", "sid", "link_ord"], 50)
+    assert seen.value == 182 and bounded.read_bounded(spark, str(tmp_path / "b")).count() == 91
