@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from chronolink.functions.compose import escape_frames, occurrences, unescape_frames
 from chronolink.functions import markup as m
 from chronolink.plans.articles import clean_text
 
@@ -161,3 +162,16 @@ def test_clean_text_changes_clean_text_no_more(page):
 def test_cleaning_is_one_projection_over_the_scan(spark, page):
     plan = clean_text(page("x"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("step", [escape_frames, unescape_frames, lambda c: occurrences(c, "[[")])
+def test_steps_hold_their_input_once(spark, step):
+    rows = spark.createDataFrame([("x",)], "text STRING")
+    plan = rows.select(step(F.regexp_replace("text", "a", "b")).alias("out"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_replace(") == 1
+
+
+def test_frames_come_back(apply):
+    texts = ["a\x03b\x04c\x05d", "\x05\x06", "plain [[x]] [[y", "", None]
+    assert apply(lambda c: unescape_frames(escape_frames(c)), *texts) == texts
+    assert apply(lambda c: occurrences(c, "[["), *texts) == [0, 0, 2, 0, None]
