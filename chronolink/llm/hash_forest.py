@@ -89,36 +89,54 @@ def salted(key: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
     return (key << bits) | (mixed >> np.uint64(64 - bits)).astype(np.int64) if bits else key
 
 
+def _blocks(part: np.ndarray, query: bool, lo: np.ndarray, hi: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> pd.DataFrame:
+    """One row per shard, in which all that goes there from a batch lies end to end."""
+    order = np.argsort(part, kind="stable")
+    shards, begins = np.unique(part[order], return_index=True)
+    cut = lambda values: [np.ascontiguousarray(x).tobytes() for x in np.split(values[order], begins[1:])]
+    return pd.DataFrame({
+        "part": shards.astype(np.int32), "query": query, "lo": cut(lo), "hi": cut(hi) if query else [b""] * len(shards),
+        "id": cut(ids), "packed": cut(vectors),
+    })
+
+
 def _search(batches: Iterator[pd.DataFrame], width: str, k: int) -> Iterator[pd.DataFrame]:
     """The best k rows of a shard for each query sent there, among those from its ``lo`` to below its ``hi``.
 
-    The shard's rows come first, by ``lo``; the queries follow."""
-    held: list[pd.DataFrame] = []
-    unpacked = lambda packed: np.frombuffer(b"".join(packed), width).reshape(len(packed), -1).astype(np.float64)
+    The blocks of the shard's rows come first, those of the queries follow."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    longs = lambda block: np.frombuffer(block, np.int64)
+    unpacked = lambda block, n: np.frombuffer(block, width).reshape(n, -1).astype(np.float64)
     vectors = key = ids = None
     for batch in batches:
-        asked = batch[batch["query"]]
-        if len(asked) < len(batch):
-            held.append(batch[~batch["query"]])
-        if not len(asked) or not held:
-            continue
-        if vectors is None:
-            rows = pd.concat(held, ignore_index=True)
-            vectors, key, ids = unpacked(rows.packed), rows.lo.to_numpy(), rows.id.to_numpy()
         out = []
-        for (lo, hi), same in asked.groupby(["lo", "hi"]):
-            a, b = np.searchsorted(key, [lo, hi])
-            for at in range(0, len(same) if a < b else 0, ASKED):
-                part = same[at : at + ASKED]
-                high = unpacked(part.packed)
-                best = [(np.zeros(0), np.zeros(0, np.int64))] * len(part)
-                for c in range(a, b, BLOCK):
-                    scores = high @ vectors[c : min(b, c + BLOCK)].T
-                    near = ids[c : min(b, c + BLOCK)]
-                    for i, (s, found) in enumerate(best):
-                        s2, found2 = _best(scores[i], near, k)
-                        best[i] = _best(np.append(s, s2), np.append(found, found2), k) if len(s) else (s2, found2)
-                out += [(q, found, s) for q, (s, found) in zip(part.id, best)]
+        for query, lo, hi, some, packed in zip(batch["query"], batch.lo, batch.hi, batch.id, batch.packed):
+            lows, named = longs(lo), longs(some)
+            if not query:
+                held.append((lows, named, unpacked(packed, len(named))))
+                continue
+            if not held:
+                continue
+            if vectors is None:
+                key, ids, vectors = (np.concatenate(x) for x in zip(*held))
+                order = np.lexsort((ids, key))
+                key, ids, vectors = key[order], ids[order], vectors[order]
+                held = held[:1]
+            asked = unpacked(packed, len(named))
+            bounds, group = np.unique(np.column_stack([lows, longs(hi)]), axis=0, return_inverse=True)
+            order = np.argsort(group.ravel(), kind="stable")
+            for (low, high), same in zip(bounds, np.split(order, np.cumsum(np.bincount(group.ravel()))[:-1])):
+                a, b = np.searchsorted(key, [low, high])
+                for at in range(0, len(same) if a < b else 0, ASKED):
+                    part = same[at : at + ASKED]
+                    best = [(np.zeros(0), np.zeros(0, np.int64))] * len(part)
+                    for c in range(a, b, BLOCK):
+                        scores = asked[part] @ vectors[c : min(b, c + BLOCK)].T
+                        near = ids[c : min(b, c + BLOCK)]
+                        for i, (s, found) in enumerate(best):
+                            s2, found2 = _best(scores[i], near, k)
+                            best[i] = _best(np.append(s, s2), np.append(found, found2), k) if len(s) else (s2, found2)
+                    out += [(q, found, s) for q, (s, found) in zip(named[part].tolist(), best)]
         if out:
             yield pd.DataFrame(out, columns=["query", "ids", "scores"])
 
@@ -155,7 +173,6 @@ def nearest(
     width = "<f4" if single else "<f8"  # as the vectors are given; they are multiplied as doubles
     enough = candidates(stats.n) if enough is None else enough
     base = 2 * (stats.dims + 1)
-    bits = max(0, min(SALT_BITS, 62 - (base**symbols).bit_length()))
 
     def keys(batch: pd.DataFrame, query: bool, tree: int, depth: int) -> np.ndarray:
         plain = np.stack(batch.vector.to_numpy()).astype(np.float64)
@@ -189,6 +206,8 @@ def nearest(
         going = sought.join(passed.select("id"), "id")
     levels = levels.groupBy("id").agg(F.max("level").alias("level"))
     grown = trees if deepest else 1  # without a symbol the run of each tree is the table
+    # symbols below those that a query went down to tell no runs apart
+    bits = max(0, min(SALT_BITS, 62 - (base**deepest).bit_length()))
     pieces = -(-stats.n // SHARD_ROWS)
     cuts = [np.zeros(0, np.int64)] * grown
     if pieces > 1:
@@ -196,40 +215,37 @@ def nearest(
         chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
         sample = entries.filter(chosen).select("id", "vector").toPandas()
         for tree in range(grown if len(sample) else 0):
-            order = np.sort(salted(keys(sample, False, tree, symbols), sample.id.to_numpy(), bits))
+            order = np.sort(salted(keys(sample, False, tree, deepest), sample.id.to_numpy(), bits))
             cuts[tree] = order[[p * len(order) // pieces for p in range(1, pieces)]]
 
-    def packed(batch: pd.DataFrame) -> list[bytes]:
-        return [np.asarray(v, np.float64).astype(width).tobytes() for v in batch.vector]
+    def packed(batch: pd.DataFrame) -> np.ndarray:
+        return np.stack(batch.vector.to_numpy()).astype(np.float64).astype(width)
 
     def deal_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in filter(len, batches):
-            data = packed(batch)
+            data, ids = packed(batch), batch.id.to_numpy().astype(np.int64)
             for tree in range(grown):
-                key = salted(keys(batch, False, tree, symbols), batch.id.to_numpy(), bits)
-                part = tree * pieces + np.searchsorted(cuts[tree], key, "right")
-                yield pd.DataFrame({"part": part.astype(np.int32), "query": False, "lo": key, "hi": key, "id": batch.id, "packed": data})
+                key = salted(keys(batch, False, tree, deepest), ids, bits)
+                yield _blocks(tree * pieces + np.searchsorted(cuts[tree], key, "right"), False, key, key, ids, data)
 
     def deal_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A query goes to each shard that its run reaches into."""
         for batch in filter(len, batches):
-            data, level = packed(batch), batch.level.to_numpy()
+            data, level, ids = packed(batch), batch.level.to_numpy(), batch.id.to_numpy().astype(np.int64)
             for tree in range(grown):
-                span = np.array([base ** (symbols - d) for d in range(symbols + 1)], np.int64)[level]
-                first = keys(batch, True, tree, symbols) // span * span
-                lo, hi = np.where(level > 0, first << bits, 0), np.where(level > 0, (first + span) << bits, base**symbols << bits)
+                span = np.array([base ** (deepest - d) for d in range(deepest + 1)], np.int64)[level]
+                first = keys(batch, True, tree, deepest) // span * span
+                lo, hi = np.where(level > 0, first << bits, 0), np.where(level > 0, (first + span) << bits, base**deepest << bits)
                 a, b = np.searchsorted(cuts[tree], lo, "right"), np.searchsorted(cuts[tree], hi - 1, "right")
                 n = np.where((level > 0) | (tree == 0), b - a + 1, 0)
                 row = np.repeat(np.arange(len(batch)), n)
                 part = tree * pieces + a[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                yield pd.DataFrame({
-                    "part": part.astype(np.int32), "query": True, "lo": lo[row], "hi": hi[row], "id": batch.id.to_numpy()[row],
-                    "packed": [data[i] for i in row],
-                })
+                if len(row):
+                    yield _blocks(part, True, lo[row], hi[row], ids[row], data[row])
 
-    form = "part INT, query BOOLEAN, lo LONG, hi LONG, id LONG, packed BINARY"
+    form = "part INT, query BOOLEAN, lo BINARY, hi BINARY, id BINARY, packed BINARY"
     dealt = entries.mapInPandas(deal_rows, form).unionByName(sought.join(levels, "id").mapInPandas(deal_queries, form))
-    met = dealt.repartitionById(grown * pieces, F.col("part")).sortWithinPartitions("part", "query", "lo", "id").mapInPandas(
+    met = dealt.repartitionById(grown * pieces, F.col("part")).sortWithinPartitions("part", "query").mapInPandas(
         lambda it: _search(it, width, k + 1), "query LONG, ids ARRAY<LONG>, scores ARRAY<DOUBLE>"
     )
     pairs = met.select("query", F.explode(F.arrays_zip("ids", "scores")).alias("one")).select(

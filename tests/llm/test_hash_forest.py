@@ -71,3 +71,17 @@ def test_candidates_follow_the_table():
     assert hash_forest.candidates(500) == 12_000
     for n in (60_000, 200_000, 3_000_000):
         assert hash_forest.candidates(n) >= n / 4
+
+
+def test_rows_for_a_shard_travel_in_blocks(spark, monkeypatch):
+    """However many trees there are, a batch sends each shard one row, not one per vector."""
+    sent = []
+    spread = type(spark.range(1)).repartitionById
+    monkeypatch.setattr(type(spark.range(1)), "repartitionById", lambda df, *a: (sent.append(df), spread(df, *a))[1])
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 16)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id LONG, embedding ARRAY<FLOAT>").coalesce(2)
+    found = hash_forest.nearest(df, df.filter("vec_id % 90 = 0"), k=10, trees=8, enough=100).toPandas()
+    assert recall(found, x, range(0, 900, 90), 10) >= 0.5
+    rows = sent[0].filter("NOT query").selectExpr("part", "octet_length(id) div 8 AS n").toPandas()
+    assert rows.part.nunique() == 8 and rows.n.sum() == 8 * 900 and len(rows) < 900
