@@ -41,7 +41,7 @@ def cells_of(found: str, seed: str = "0", cells: int = CELLS) -> str:
     placed = f"transform({found}, k -> named_struct('k', k, 'c', {_CHECK.format(k='k')}, 'at', array({_places(seed, cells)})))"
     added = "named_struct('n', x.n + 1, 'k', x.k ^ d.k, 'c', x.c ^ d.c)"
     return f"""aggregate(array({placed}), array(), (acc, ds) -> transform(sequence(0, {cells - 1}), i ->
-        aggregate(filter(ds, d -> array_contains(d.at, i)), {_EMPTY}, (x, d) -> {added})),
+        aggregate(filter(ds, d -> d.at[i div {cells // 3}] = i), {_EMPTY}, (x, d) -> {added})),
         acc -> acc)""".replace(
         "array(), (acc, ds)", "cast(array() AS array<struct<n: int, k: bigint, c: bigint>>), (acc, ds)"
     )
@@ -50,15 +50,34 @@ def cells_of(found: str, seed: str = "0", cells: int = CELLS) -> str:
 def peeled(mine: str, other: str, seed: str = "0", cells: int = CELLS, rounds: int = ROUNDS) -> str:
     """SQL: how many digests the difference of two sketches holds; null where it can't be taken apart."""
     minus = f"zip_with({mine}, {other}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c))"
+    return taken_apart(minus, seed, cells, rounds)
+
+
+def difference_of(mine: str, other: str, seed: str, cells: int) -> str:
+    """SQL: the cells of one array of digests less those of another, filled at once."""
+    placed = lambda found, n: (
+        f"transform({found}, k -> named_struct('n', {n}, 'k', k, 'c', {_CHECK.format(k='k')}, 'at', array({_places(seed, cells)})))"
+    )
+    third = cells // 3
+    return f"""transform(array(concat({placed(mine, 1)}, {placed(other, -1)})), ds -> transform(sequence(0, {cells - 1}), i ->
+        aggregate(filter(ds, d -> d.at[i div {third}] = i), {_EMPTY},
+            (x, d) -> named_struct('n', x.n + d.n, 'k', x.k ^ d.k, 'c', x.c ^ d.c))))[0]"""
+
+
+def taken_apart(minus: str, seed: str, cells: int, rounds: int) -> str:
+    """SQL: how many digests the cells of a difference hold; null where they can't be taken apart. A round that
+    finds no cell with one digest is the last one: nothing is left, or nothing that can be peeled."""
+    third = cells // 3
     pure = f"""array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 AND x.c = ({_CHECK.format(k='x.k')})),
         x -> named_struct('n', x.n, 'k', x.k, 'c', x.c)))"""
     placed = f"transform({pure}, p -> named_struct('n', p.n, 'k', p.k, 'c', p.c, 'at', transform(array(p.k), k -> array({_places(seed, cells)}))[0]))"
-    round_ = f"""aggregate(array({placed}), s, (s, ps) -> CASE WHEN size(ps) = 0 THEN s ELSE named_struct(
-        'cells', transform(s.cells, (x, i) -> aggregate(filter(ps, p -> array_contains(p.at, i)), x,
+    round_ = f"""aggregate(array({placed}), s, (s, ps) -> CASE WHEN size(ps) = 0 THEN named_struct(
+        'cells', s.cells, 'found', s.found, 'going', false) ELSE named_struct(
+        'cells', transform(s.cells, (x, i) -> aggregate(filter(ps, p -> p.at[i div {third}] = i), x,
             (x, p) -> named_struct('n', x.n - p.n, 'k', x.k ^ p.k, 'c', x.c ^ p.c))),
-        'found', s.found + size(ps)) END)"""
-    return f"""aggregate(sequence(1, {rounds}), named_struct('cells', {minus}, 'found', 0),
-        (s, r) -> CASE WHEN exists(s.cells, x -> x.n <> 0 OR x.k <> 0) THEN {round_} ELSE s END,
+        'found', s.found + size(ps), 'going', true) END)"""
+    return f"""aggregate(sequence(1, {rounds}), named_struct('cells', {minus}, 'found', 0, 'going', true),
+        (s, r) -> CASE WHEN s.going THEN {round_} ELSE s END,
         s -> CASE WHEN exists(s.cells, x -> x.n <> 0 OR x.k <> 0 OR x.c <> 0) THEN NULL ELSE s.found END)"""
 
 
@@ -73,15 +92,17 @@ def _row(found: str, level: int) -> str:
     if level == RETRIES:
         return f"size(array_except({found}.a, {found}.b)) + size(array_except({found}.b, {found}.a))"
     seed, name = str(level + 1), f"g{level + 1}"
-    tried = peeled(cells_of(f"{found}.a", seed, ROW_CELLS), cells_of(f"{found}.b", seed, ROW_CELLS), seed, ROW_CELLS, ROW_ROUNDS)
+    tried = taken_apart(difference_of(f"{found}.a", f"{found}.b", seed, ROW_CELLS), seed, ROW_CELLS, ROW_ROUNDS)
     again = f"aggregate({_split(found, '8', 10 + level)}, 0, (t, {name}) -> t + {_row(name, level + 1)})"
     return f"coalesce({tried}, {again})"
 
 
 def _split(found: str, parts: str, seed: int) -> str:
-    """SQL: the digests of ``found.a`` and ``found.b`` dealt over ``parts`` rows by a hash."""
-    dealt = lambda side: f"filter({found}.{side}, d -> pmod(xxhash64(d, {seed}L), {parts}) = o{seed})"
-    return f"transform(sequence(0, int({parts}) - 1), o{seed} -> named_struct('a', {dealt('a')}, 'b', {dealt('b')}))"
+    """SQL: the digests of ``found.a`` and ``found.b`` dealt over ``parts`` rows by a hash, which is taken once."""
+    placed = lambda side: f"transform({found}.{side}, d -> named_struct('d', d, 'o', int(pmod(xxhash64(d, {seed}L), {parts}))))"
+    dealt = lambda side: f"transform(filter(m{seed}.{side}, x -> x.o = o{seed}), x -> x.d)"
+    return f"""transform(array(named_struct('a', {placed('a')}, 'b', {placed('b')})), m{seed} -> transform(
+        sequence(0, int({parts}) - 1), o{seed} -> named_struct('a', {dealt('a')}, 'b', {dealt('b')})))[0]"""
 
 
 def differing(mine: str, other: str, mine_cells: str, other_cells: str) -> str:

@@ -95,3 +95,23 @@ def test_messy(messy, documents):
         assert operator(documents([])).collect() == []
     one = paragraph_sketch.fingerprints(documents([(1, "a. b. c")])).first()
     assert one.near_next == 1.0
+
+
+def test_rows_are_filled_with_the_difference_and_dealt_whole(spark):
+    """The cells of a difference are those of both sides subtracted, and dealing keeps each digest once per side."""
+    rng = random.Random(7)
+    sides = [([], []), ([1], [1]), ([1, 2], [])]
+    for n in (1, 3, 6, 40):
+        both = [rng.getrandbits(63) for _ in range(n)]
+        sides.append((both + [rng.getrandbits(63) for _ in range(n)], both[::-1] + [rng.getrandbits(63)]))
+    rows = spark.createDataFrame(sides, "a ARRAY<LONG>, b ARRAY<LONG>")
+    ps = paragraph_sketch
+    minus = ps.difference_of("a", "b", "3", 12)
+    apart = f"zip_with({ps.cells_of('a', '3', 12)}, {ps.cells_of('b', '3', 12)}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c))"
+    dealt = ps._split("named_struct('a', a, 'b', b)", "4", 5)
+    found = rows.selectExpr("a", "b", f"{minus} AS minus", f"{apart} AS apart", f"{dealt} AS dealt", f"{ps.taken_apart(minus, '3', 12, 5)} AS n").collect()
+    for r in found:
+        assert r.minus == r.apart and len(r.dealt) == 4
+        assert sorted(k for d in r.dealt for k in d.a) == sorted(r.a) and sorted(k for d in r.dealt for k in d.b) == sorted(r.b)
+        assert r.n in (None, len(set(r.a) ^ set(r.b)))
+    assert [r.n for r in found[:4]] == [0, 0, 2, 2] and found[-1].n is None
