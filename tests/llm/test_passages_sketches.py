@@ -115,3 +115,40 @@ def test_rows_are_filled_with_the_difference_and_dealt_whole(spark):
         assert sorted(k for d in r.dealt for k in d.a) == sorted(r.a) and sorted(k for d in r.dealt for k in d.b) == sorted(r.b)
         assert r.n in (None, len(set(r.a) ^ set(r.b)))
     assert [r.n for r in found[:4]] == [0, 0, 2, 2] and found[-1].n is None
+
+
+def test_links_in_crowds_against_brute_force(documents):
+    """Texts under a value that many share: each link of 50 words at the similarity is counted, and no other."""
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, long, docs = words(40), words(70), []
+    docs += [words(20) + line + words(25) for _ in range(60)]
+    for _ in range(12):
+        both = line + words(20)
+        docs += [words(10) + both + words(10) for _ in range(2)]
+    for i in range(60):
+        x = list(long)
+        if i % 3 == 0:
+            x[rng.randrange(70)] = f"edit{i}"
+        docs.append(words(10) + x + words(i % 7))
+    docs += [line + both[40:] + long, ["a"] * 200, ["a"] * 150 + words(5)]
+    stretches = [{frozenset(tuple(d[k : k + 5]) for k in range(i, i + 46)) for i in range(len(d) - 49)} for d in docs]
+    whole = [set().union(*s) for s in stretches]
+    linked = {i: set() for i in range(len(docs))}
+    for i in range(len(docs)):
+        for j in range(i):
+            if len(whole[i] & whole[j]) and any(len(x & y) >= 0.8 * len(x | y) for x in stretches[i] for y in stretches[j]):
+                linked[i].add(j)
+                linked[j].add(i)
+    rows = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    # repeated rows are no texts of their own, but count as copies
+    found = {r.doc_id: r for r in compact_windows.repeated_passages(documents(rows + [rows[70], (500, rows[71][1])])).collect()}
+    twice = {70, 71}
+    for i, others in linked.items():
+        assert found[i].n_links == len(others) + (i in twice), i
+        assert (found[i].n_spans > 0) == bool(others), i
+    assert found[500].n_links == found[71].n_links and found[500].component_id == found[71].component_id == 70
+    assert {found[i].component_id for i in range(84, 145)} == {found[84].component_id}
+    _, listed = compact_windows.passages(documents(rows))
+    pairs = {frozenset((r.a, r.b)) for r in listed.collect()}
+    assert len(pairs) == sum(map(len, linked.values())) / 2
